@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile.functions.expressions import name_lookup
-from turnstile.session import bounded_count, maybe_broadcast
+from turnstile.session import BROADCAST_MAX_ROWS
 
-# Dictionary entries up to which the codes are applied as an inline map literal.
-INLINE_DICTIONARY_MAX = 20_000
+# Entries of one column up to which its codes are applied as a map literal.
+INLINE_COLUMN_MAX = 256
 # Entries up to which one window ranks the whole dictionary in a single task.
 SINGLE_TASK_RANK_MAX = 1_000_000
 # Range partitions used to rank a dictionary above that size.
@@ -45,19 +45,20 @@ def _unpivot_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(entries))
 
 
-def _rank_dictionary(distinct_vals: DataFrame) -> DataFrame:
-    """Dense codes 0..n-1 per column in value order, nulls excluded.
+def _rank_dictionary(vals: DataFrame, total: int) -> DataFrame:
+    """Dense codes 0..n-1 per column in value order (``vals``: distinct,
+    non-null ``(column_name, value)``; ``total``: its exact row count).
 
-    Size checked first: up to ``SINGLE_TASK_RANK_MAX`` entries one window does
-    it; beyond that the entries are range partitioned, each partition ranked
-    locally, and per-partition counts (one row per partition) give offsets.
+    Up to ``SINGLE_TASK_RANK_MAX`` entries one window does it; beyond that the
+    entries are range partitioned, each partition ranked locally, and
+    per-partition counts (one row per partition) give the offsets.
     """
-    vals = distinct_vals.where(F.col("value").isNotNull())
-    if bounded_count(vals, SINGLE_TASK_RANK_MAX) <= SINGLE_TASK_RANK_MAX:
+    if total <= SINGLE_TASK_RANK_MAX:
         w = Window.partitionBy("column_name").orderBy("value")
         return vals.select("column_name", "value",
                            (F.row_number().over(w) - 1).cast("bigint").alias("code"))
-    ranged = (vals.repartitionByRange(RANK_PARTITIONS, "column_name", "value")
+    parts = max(RANK_PARTITIONS, total // 500_000 + 1)
+    ranged = (vals.repartitionByRange(parts, "column_name", "value")
               .select("column_name", "value", F.spark_partition_id().alias("_pid"))
               .persist())
     sizes = ranged.groupBy("column_name", "_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -66,6 +67,7 @@ def _rank_dictionary(distinct_vals: DataFrame) -> DataFrame:
     offsets = sizes.select("column_name", "_pid",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = Window.partitionBy("column_name", "_pid").orderBy("value")
+    # offsets has one row per (column, partition): bounded by parts x columns.
     return (ranged.join(F.broadcast(offsets), ["column_name", "_pid"])
             .select("column_name", "value",
                     (F.col("_off") + F.row_number().over(local) - 1).cast("bigint").alias("code")))
@@ -73,13 +75,15 @@ def _rank_dictionary(distinct_vals: DataFrame) -> DataFrame:
 
 @dataclass
 class LabelDictionary:
-    """Fitted codes: ``frame`` has ``(column_name, value, code)``; ``sizes``
-    maps column → number of non-null values; ``inline`` holds the whole
-    dictionary when its size is under the inline limit."""
+    """Fitted codes: ``frame`` has ``(column_name, value, code)`` for non-null
+    values; ``sizes`` maps column → number of non-null values; ``has_null``
+    marks columns that held nulls; ``inline`` holds the codes of columns small
+    enough to apply as a map literal."""
     columns: list[str]
     frame: DataFrame
     sizes: dict[str, int]
-    inline: dict[str, dict[str, int]] | None
+    has_null: dict[str, bool]
+    inline: dict[str, dict[str, int]]
     missing: str = "last_code"
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -88,23 +92,31 @@ class LabelDictionary:
 
 def fit_label_dictionary(df: DataFrame, cols: Iterable[str] | None = None,
                          missing: str = "last_code") -> LabelDictionary:
+    """One pass over the table: unpivot the text columns, ``distinct`` with
+    map-side partial aggregation, persist the (small) distinct set; sizes,
+    null presence and codes all come from it."""
     if missing not in ("last_code", "null", "error"):
         raise ValueError("missing must be 'last_code', 'null' or 'error'")
     names = name_lookup(df, cols) if cols is not None else [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
         return LabelDictionary([], df.sparkSession.createDataFrame(
-            [], "column_name string, value string, code bigint"), {}, {}, missing)
-    codes = _rank_dictionary(_unpivot_values(df, names).distinct()).persist()
-    sizes_rows = codes.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()
+            [], "column_name string, value string, code bigint"), {}, {}, {}, missing)
+    distinct_vals = _unpivot_values(df, names).distinct().persist()
+    stats = distinct_vals.groupBy("column_name").agg(
+        F.count("value").alias("n"), F.max(F.col("value").isNull()).alias("has_null")).collect()
     sizes = {c: 0 for c in names}
-    sizes.update({r.column_name: r.n for r in sizes_rows})
-    inline = None
-    if sum(sizes.values()) <= INLINE_DICTIONARY_MAX:
-        inline = {c: {} for c in names}
-        for r in codes.collect():
+    has_null = {c: False for c in names}
+    for r in stats:
+        sizes[r.column_name], has_null[r.column_name] = r.n, bool(r.has_null)
+    vals = distinct_vals.where(F.col("value").isNotNull())
+    codes = _rank_dictionary(vals, sum(sizes.values())).persist()
+    small = [c for c in names if sizes[c] <= INLINE_COLUMN_MAX]
+    inline: dict[str, dict[str, int]] = {c: {} for c in small}
+    if small:
+        for r in codes.where(F.col("column_name").isin(small)).collect():
             inline[r.column_name][r.value] = r.code
-    return LabelDictionary(names, codes, sizes, inline, missing)
+    return LabelDictionary(names, codes, sizes, has_null, inline, missing)
 
 
 def _missing_code(c: str, d: LabelDictionary, code: Column, value: Column) -> Column:
@@ -120,27 +132,31 @@ def _missing_code(c: str, d: LabelDictionary, code: Column, value: Column) -> Co
 
 def apply_dictionary(df: DataFrame, d: LabelDictionary) -> DataFrame:
     """Replace each encoded column by its code (bigint).  Missing and unseen
-    values get the last code ``n`` (``missing='last_code'``), null, or an error."""
+    values get the last code ``n`` (``missing='last_code'``), null, or an error.
+
+    Small dictionaries are map literals (a projection, also fine on a stream);
+    larger ones are equi-joins, broadcast when their known size allows it."""
     if not d.columns:
         return df
-    if d.inline is not None:
-        exprs = {}
-        for c in d.columns:
-            entries = d.inline[c]
-            if entries:
-                m = F.create_map(*[x for k, v in sorted(entries.items())
-                                   for x in (F.lit(k), F.lit(v).cast("bigint"))])
-                code = F.when(F.col(c).isNull(), F.lit(None).cast("bigint")).otherwise(
-                    F.try_element_at(m, F.col(c).cast("string")))
-            else:
-                code = F.lit(None).cast("bigint")
-            exprs[c] = _missing_code(c, d, code, F.col(c).cast("string")).alias(c)
-        return df.select(*[exprs.get(c, F.col(c)) for c in df.columns])
-    out = df
-    for i, c in enumerate(d.columns):
+    exprs = {}
+    for c in d.columns:
+        if c not in d.inline:
+            continue
+        entries = d.inline[c]
+        if entries:
+            m = F.create_map(*[x for k, v in sorted(entries.items())
+                               for x in (F.lit(k), F.lit(v).cast("bigint"))])
+            code = F.try_element_at(m, F.col(c).cast("string"))
+        else:
+            code = F.lit(None).cast("bigint")
+        exprs[c] = _missing_code(c, d, code, F.col(c).cast("string")).alias(c)
+    out = df.select(*[exprs.get(c, F.col(c)) for c in df.columns])
+    for i, c in enumerate(x for x in d.columns if x not in d.inline):
         side = (d.frame.where(F.col("column_name") == c)
                 .select(F.col("value").alias(f"_val{i}"), F.col("code").alias(f"_code{i}")))
-        out = out.join(maybe_broadcast(side), F.col(c).cast("string") == F.col(f"_val{i}"), "left")
+        if d.sizes[c] <= BROADCAST_MAX_ROWS:
+            side = F.broadcast(side)
+        out = out.join(side, F.col(c).cast("string") == F.col(f"_val{i}"), "left")
         out = out.withColumn(c, _missing_code(c, d, F.col(f"_code{i}"), F.col(c).cast("string")))
         out = out.drop(f"_val{i}", f"_code{i}")
     return out.select(*df.columns)
@@ -157,14 +173,11 @@ def label_encode(df: DataFrame, cols: Iterable[str] | None = None,
     d = fit_label_dictionary(df, cols, missing)
     frame = d.frame
     if missing == "last_code" and d.columns:
-        spark = df.sparkSession
-        present = (_unpivot_values(df, d.columns).where(F.col("value").isNull())
-                   .select("column_name").distinct())
-        nulls = present.join(
-            spark.createDataFrame([(c, n) for c, n in d.sizes.items()],
-                                  "column_name string, code bigint"), "column_name")
-        frame = frame.unionByName(nulls.select("column_name", F.lit(None).cast("string")
-                                               .alias("value"), "code"))
+        null_rows = [(c, d.sizes[c]) for c in d.columns if d.has_null[c]]
+        if null_rows:
+            nulls = df.sparkSession.createDataFrame(null_rows, "column_name string, code bigint")
+            frame = frame.unionByName(nulls.select(
+                "column_name", F.lit(None).cast("string").alias("value"), "code"))
     return apply_dictionary(df, d), frame
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from turnstile import defaults as D
 from turnstile.functions.expressions import is_missing, name_lookup
-from turnstile.session import cut_lineage, maybe_broadcast
+from turnstile.session import cut_lineage, maybe_broadcast, spread
 
 
 # ---------------------------------------------------------------------------
@@ -228,6 +228,7 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
         *[F.coalesce(x[c], F.lit(float(means[i]))).alias(vcol[i]) for i, c in enumerate(names)],
         *[x[c].isNull().alias(mcol[i]) for i, c in enumerate(names)],
     )
+    base = spread(base)
     any_missing = F.lit(False)
     for i in order:
         any_missing = any_missing | F.col(mcol[i])

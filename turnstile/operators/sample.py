@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from turnstile import defaults as D
 from turnstile.functions.expressions import hash_rank_key, hash_uniform, name_lookup
+from turnstile.session import cut_lineage
 
 # Rows a final boundary bucket may hold before it is sorted in one task.
 BOUNDARY_SORT_MAX = 200_000
@@ -203,7 +204,9 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
         last = width >= span
         done_cond = F.lit(True) if last else F.coalesce(
             F.col("_d2") <= F.lit(float(width * width)), F.lit(False))
-        scored = scored.persist()
+        # Reliable checkpoint per level: the next level starts from a short
+        # plan over only the unresolved points.
+        scored = cut_lineage(scored)
         resolved.append(scored.where(done_cond).select("_id", "_cls", "_nn", "_d2"))
         if last:
             break

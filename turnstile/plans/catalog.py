@@ -206,21 +206,21 @@ def q_csv_roundtrip(spark, d):
     return read_csv(spark, path, schema=cleaned.schema)
 
 
-def _cust_trained(spark, d, forest_trees: int | None = None):
-    settings = Settings(forest={} if forest_trees is None else {"numTrees": forest_trees})
+def _cust_trained(spark, d, forest: bool = True, network: bool = True):
+    settings = Settings(fit_forest=forest, fit_network=network)
     return train_and_score(_encoded_cust(spark, d), CUST_COLUMNS, settings)
 
 
 def q_feature_importance(spark, d):
-    return _cust_trained(spark, d)["importances"]
+    return _cust_trained(spark, d, network=False)["importances"]
 
 
 def q_turnover_report(spark, d):
-    return _cust_trained(spark, d)["turnover"]
+    return _cust_trained(spark, d, forest=False)["turnover"]
 
 
 def q_evaluate_accuracy(spark, d):
-    return _cust_trained(spark, d)["accuracy"]
+    return _cust_trained(spark, d, forest=False)["accuracy"]
 
 
 def q_run_pipeline(spark, d):

@@ -29,7 +29,7 @@ from turnstile.operators.model import (
 )
 from turnstile.operators.profile import class_counts, high_missing_names, missing_percent, require_complete
 from turnstile.operators.sample import smote, train_test_split
-from turnstile.session import cut_lineage
+from turnstile.session import cut_lineage, spread
 
 
 @dataclass(frozen=True)
@@ -63,6 +63,8 @@ class Settings:
     mlp_max_iter: int = D.MLP_MAX_ITER
     use_balanced: bool = False       # parity: balanced rows are only counted
     run_smote: bool = False          # run the real oversampler (costly) for its counts
+    fit_forest: bool = True          # importances
+    fit_network: bool = True         # turnover report and accuracy
 
 
 def prepare_table(df: DataFrame, cols: Columns = Columns(), s: Settings = Settings()) -> dict:
@@ -98,7 +100,7 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     result = {"class_counts": counts, "trained": False}
     if not require_complete(df):
         return result                                   # reference skips silently
-    table = cut_lineage(df)
+    table = cut_lineage(spread(df))
     count_rows = {r[lab]: r["n"] for r in counts.collect()}
     top = max(count_rows.values()) if count_rows else 0
     feature_cols = [c for c in table.columns if c not in (lab, "_orig_id")]
@@ -118,8 +120,13 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
                                                   if c.lower() in {x.lower() for x in table.columns}])]
     split = train_test_split(table, ident, s.test_size, s.split_seed)
     report_id = "_orig_id" if "_orig_id" in table.columns else ident
-    forest = fit_forest(split.where(F.col("split") == "train"), feature_cols, lab, **s.forest)
-    result["importances"] = feature_importance(spark, forest, feature_cols)
+    if s.fit_forest:
+        forest = fit_forest(split.where(F.col("split") == "train"), feature_cols, lab, **s.forest)
+        result["importances"] = feature_importance(spark, forest, feature_cols)
+        result["forest"] = forest
+    if not s.fit_network:
+        result["trained"] = True
+        return result
 
     keep = list(dict.fromkeys([report_id, lab, "split"]))
     prepared, flat = prepare_features(split, numeric, categorical, keep=keep)
@@ -130,7 +137,7 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     result["turnover"] = turnover_report(mlp, prepared, report_id)
     result["accuracy"] = evaluate_accuracy(mlp, test, lab)
     result["feature_names"] = flat
-    result["forest"], result["mlp"], result["trained"] = forest, mlp, True
+    result["mlp"], result["trained"] = mlp, True
     return result
 
 
