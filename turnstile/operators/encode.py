@@ -307,26 +307,64 @@ def one_hot_label(df: DataFrame, label: str, n_levels: int | None = 2
 # M6 / P10 / P12: feature matrix
 # ---------------------------------------------------------------------------
 
+@dataclass
+class FeatureModel:
+    """Fitted feature block: scaler statistics of the numeric columns and the
+    observed levels of the categorical ones.  ``transform`` is a projection
+    (plus the vector assembler), so it runs on new batches and on streams."""
+    numeric: list[str]
+    categorical: list[str]
+    stats: dict[str, tuple[float, float]]
+    levels: dict[str, list]
+    output: str = "features"
+
+    @property
+    def names(self) -> list[str]:
+        return [*self.numeric, *[_level_name(c, k) for c in self.categorical
+                                 for k in range(len(self.levels[c]))]]
+
+    def transform(self, df: DataFrame, keep: Sequence[str] = (), assemble: bool = True) -> DataFrame:
+        kept = list(keep)
+        block = df.select(*kept, *self.numeric, *self.categorical)
+        block = scale_columns(block, self.stats)
+        block, _ = one_hot(block, self.categorical, drop=True, levels=self.levels)
+        block = block.select(*kept, *self.names)
+        if assemble:
+            block = VectorAssembler(inputCols=self.names, outputCol=self.output,
+                                    handleInvalid="error").transform(block)
+        return block
+
+
+def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                 fit_on: str = "all", split_col: str = "split",
+                 output: str = "features") -> FeatureModel:
+    """Scaler statistics (one aggregate) and one-hot levels (one bounded
+    aggregate).  Categorical columns must have few enough levels for flat
+    indicators."""
+    num = name_lookup(df, numeric)
+    cat = name_lookup(df, categorical)
+    rows = F.col(split_col) == F.lit("train") if fit_on == "train" else None
+    levels = observed_levels(df, cat) if cat else {}
+    wide = [c for c in cat if levels.get(c) is None]
+    if wide:
+        raise ValueError(f"too many levels for flat indicators in {wide}; use one_hot()")
+    return FeatureModel(num, cat, fit_scaler(df, num, rows), levels, output)
+
+
 def prepare_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                      keep: Sequence[str] = (), output: str = "features",
                      fit_on: str = "all", split_col: str = "split",
-                     assemble: bool = True) -> tuple[DataFrame, list[str]]:
+                     assemble: bool = True, return_model: bool = False):
     """Scaled numerics, then one-hot groups, assembled into one vector.
 
-    Returns ``(frame with keep + flat columns [+ features], flat names)``.
+    Returns ``(frame with keep + flat columns [+ features], flat names)``
+    (plus the fitted ``FeatureModel`` with ``return_model=True``).
     """
-    num = name_lookup(df, numeric)
-    cat = name_lookup(df, categorical)
+    model = fit_features(df, numeric, categorical, fit_on, split_col, output)
     kept = name_lookup(df, keep)
-    extra = [split_col] if fit_on == "train" and split_col not in kept else []
-    rows = F.col(split_col) == F.lit("train") if fit_on == "train" else None
-    stats = fit_scaler(df, num, rows)
-    block = df.select(*kept, *extra, *num, *cat)
-    block = scale_columns(block, stats)
-    block, cat_names = one_hot(block, cat, drop=True)
-    flat = [*num, *cat_names]
-    block = block.select(*kept, *extra, *flat)
-    if assemble:
-        block = VectorAssembler(inputCols=flat, outputCol=output,
-                                handleInvalid="error").transform(block)
-    return block, flat
+    if fit_on == "train" and split_col not in kept:
+        kept.append(split_col)
+    out = model.transform(df, kept, assemble)
+    if return_model:
+        return out, model.names, model
+    return out, model.names

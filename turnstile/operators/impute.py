@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Iterable
 
 import numpy as np
@@ -41,34 +42,44 @@ def group_modes(df: DataFrame, group: str, value: str) -> DataFrame:
     return counts.groupBy(g).agg(best["v"].alias("_mode"))
 
 
-def fill_group_mode(df: DataFrame, group: str = D.HR_GROUP, value: str = D.HR_GROUP_VALUE,
-                    null_group: str = "null", empty_group: str = "error") -> DataFrame:
-    """Fill nulls of ``value`` with the mode of ``value`` inside its ``group``.
-
-    ``null_group='null'`` (parity) nulls the value of rows whose group is null,
-    even when they had a value; ``'keep'`` leaves those rows unchanged.
-    ``empty_group='error'`` raises when a group has no value to take a mode
-    from (checked inside the same pass with ``raise_error``); ``'null'``
-    leaves such cells null.
-    """
+def apply_group_modes(df: DataFrame, modes: DataFrame, group: str, value: str,
+                      null_group: str = "null", empty_group: str = "error") -> DataFrame:
+    """Fill nulls of ``value`` from a fitted ``(group, _mode)`` table (batch or
+    stream; the mode table is broadcast only after a size check)."""
     if null_group not in ("null", "keep") or empty_group not in ("error", "null"):
         raise ValueError("null_group in {'null','keep'}, empty_group in {'error','null'}")
     g, v = name_lookup(df, [group, value])
-    modes = group_modes(df, g, v).withColumnRenamed(g, "_g").persist()
-    joined = df.join(maybe_broadcast(modes), F.col(g) == F.col("_g"), "left")
-    filled = F.coalesce(F.col(v), F.col("_mode"))
+    side = modes.select(F.col(modes.columns[0]).alias("_g"), F.col("_mode"))
+    joined = df.join(maybe_broadcast(side), F.col(g) == F.col("_g"), "left")
+    vtype = df.schema[v].dataType
+    filled = F.coalesce(F.col(v), F.col("_mode").cast(vtype))
     if empty_group == "error":
         no_mode = F.col(g).isNotNull() & F.col(v).isNull() & F.col("_mode").isNull()
         filled = F.when(no_mode, F.raise_error(
             F.concat(F.lit(f"fill_group_mode: group without any {v} value: "),
-                     F.col(g).cast("string")))).otherwise(filled).cast(df.schema[v].dataType)
+                     F.col(g).cast("string")))).otherwise(filled).cast(vtype)
     if null_group == "null":
-        filled = F.when(F.col(g).isNull(), F.lit(None).cast(df.schema[v].dataType)).otherwise(filled)
+        filled = F.when(F.col(g).isNull(), F.lit(None).cast(vtype)).otherwise(filled)
     else:
         filled = F.when(F.col(g).isNull(), F.col(v)).otherwise(filled)
     return joined.select(*[filled.alias(c) if c == v else F.col(c) for c in df.columns])
 
 
+def fill_group_mode(df: DataFrame, group: str = D.HR_GROUP, value: str = D.HR_GROUP_VALUE,
+                    null_group: str = "null", empty_group: str = "error") -> DataFrame:
+    """Fill nulls of ``value`` with the mode of ``value`` inside its ``group``.
+
+    ``null_group='null'`` (parity) nulls the value of rows whose group is null,
+    even when they had a value; ``'keep'`` leaves those rows unchanged.
+    ``empty_group='error'`` raises when a group has no value to take a mode
+    from (checked inside the same pass with ``raise_error``); ``'null'``
+    leaves such cells null.
+    """
+    g, v = name_lookup(df, [group, value])
+    modes = group_modes(df, g, v).persist()
+    return apply_group_modes(df, modes, g, v, null_group, empty_group)
+
+
 # ---------------------------------------------------------------------------
 # M3: mean fill
 # ---------------------------------------------------------------------------
@@ -173,10 +184,42 @@ def _unpack(row, p: int) -> tuple[float, np.ndarray, np.ndarray]:
     return n, s, M
 
 
+@dataclass
+class ImputerModel:
+    """Fitted chained equations: observed means and, in order, every column
+    update ``x_j := icpt + Σ coef_a (x_a − mean_a)`` applied to the cells of
+    ``x_j`` that were missing.  Replaying the steps is a projection, so it also
+    imputes new batches or a stream exactly as the fit imputed its table."""
+    names: list[str]
+    means: list[float]
+    steps: list[tuple[int, float, list[tuple[int, float]]]]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        types = {f.name: f.dataType for f in df.schema.fields}
+        p = len(self.names)
+        cur = {}
+        miss = {}
+        for i, c in enumerate(self.names):
+            xc = _as_double(c, types[c])
+            miss[i] = xc.isNull()
+            cur[i] = F.coalesce(xc, F.lit(float(self.means[i])))
+        out = df.select("*", *[cur[i].alias(f"_v{i}") for i in range(p)],
+                        *[miss[i].alias(f"_miss{i}") for i in range(p)])
+        for j, icpt, coefs in self.steps:
+            pred = F.lit(float(icpt))
+            for a, b in coefs:
+                pred = pred + F.lit(float(b)) * (F.col(f"_v{a}") - F.lit(float(self.means[a])))
+            out = out.select(*[
+                F.when(F.col(f"_miss{j}"), pred).otherwise(F.col(f"_v{j}")).alias(f"_v{j}")
+                if c == f"_v{j}" else F.col(c) for c in out.columns])
+        return out.select(*[F.col(f"_v{self.names.index(c)}").alias(c) if c in self.names
+                            else F.col(c) for c in df.columns])
+
+
 def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
                      exclude: Iterable[str] = (), max_iter: int = D.IMPUTE_MAX_ITER,
                      tol: float = D.IMPUTE_TOL, estimator: str = "bayes",
-                     checkpoint: bool = True) -> DataFrame:
+                     checkpoint: bool = True, return_model: bool = False):
     """Impute every missing numeric cell by regressing its column on the others.
 
     Start from the observed means; visit columns with missing cells in
@@ -196,8 +239,14 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
         if isinstance(f.dataType, T.NumericType) and f.name.lower() not in skip]
     names = [c for c in names if c.lower() not in skip]
     p = len(names)
+
+    def done(frame, means=(), steps=()):
+        if return_model:
+            return frame, ImputerModel(names, [float(m) for m in means], list(steps))
+        return frame
+
     if p == 0:
-        return df
+        return done(df)
 
     # One aggregate: observed means, missing counts, max |observed|.
     x = {c: _as_double(c, types[c]) for c in names}
@@ -215,7 +264,8 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
     nmiss = [prof[f"_nmiss{i}"] for i in range(p)]
     order = [i for i in sorted(range(p), key=lambda i: (nmiss[i], i)) if nmiss[i] > 0]
     if not order:
-        return df.select(*[x[c].alias(c) if c in x else F.col(c) for c in df.columns])
+        return done(df.select(*[x[c].alias(c) if c in x else F.col(c) for c in df.columns]),
+                    means)
     threshold = tol * float(prof["_absmax"] or 0.0)
 
     # Work columns: value (double, mean-filled) + missing flag, shifted by the
@@ -239,6 +289,7 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
 
     z = [F.col(vcol[i]) - F.lit(float(means[i])) for i in range(p)]
     n_c, s_c, M_c = _moment_row(complete, z)
+    steps: list[tuple[int, float, list[tuple[int, float]]]] = []
 
     for _round in range(max_iter):
         prev = [F.col(vcol[i]).alias(f"_prev{i}") for i in order]
@@ -256,6 +307,7 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
             pred = F.lit(float(icpt + means[j]))
             for a, b in zip(rest, coef):
                 pred = pred + F.lit(float(b)) * z[a]
+            steps.append((j, float(icpt + means[j]), [(a, float(b)) for a, b in zip(rest, coef)]))
             work = work.select(*[
                 F.when(F.col(mcol[j]), pred).otherwise(F.col(vcol[j])).alias(vcol[j])
                 if c == vcol[j] else F.col(c) for c in work.columns])
@@ -271,5 +323,5 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
             break
 
     out = complete.unionByName(work)
-    return out.select(*[F.col(vcol[names.index(c)]).alias(c) if c in names else F.col(c)
-                        for c in df.columns])
+    return done(out.select(*[F.col(vcol[names.index(c)]).alias(c) if c in names else F.col(c)
+                             for c in df.columns]), means, steps)

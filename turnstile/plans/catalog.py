@@ -22,7 +22,7 @@ from turnstile.operators import sample as S
 from turnstile.plans.pipeline import Columns, Settings, run_pipeline, train_and_score
 from turnstile.session import checkpoint_dir
 from turnstile.sources.files import read_csv, write_csv
-from turnstile.sources.fixtures import CUST_EMP_SQL, EMP_SQL, cust_emp, emp
+from turnstile.sources.fixtures import CUST_EMP_SQL, EMP_SQL, cust_emp, emp, emp_stream
 
 # Column roles of the derived views.
 EMP_STRINGS = ["position", "department", "gender", "is_active", "education_field",
@@ -223,6 +223,17 @@ def q_evaluate_accuracy(spark, d):
     return _cust_trained(spark, d, forest=False)["accuracy"]
 
 
+def q_stream_clean(spark, d):
+    from turnstile.streaming.score import run_to_table
+    return run_to_table(C.clean(emp_stream(spark, d)), f"clean-{uuid.uuid4().hex}")
+
+
+def q_stream_score(spark, d):
+    from turnstile.streaming.score import fit_scoring_model, run_to_table
+    model = fit_scoring_model(emp(spark, d), EMP_COLUMNS)
+    return run_to_table(model.transform(emp_stream(spark, d)), f"score-{uuid.uuid4().hex}")
+
+
 def q_run_pipeline(spark, d):
     return run_pipeline(emp(spark, d), EMP_COLUMNS, Settings())["turnover"]
 
@@ -261,6 +272,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_importance": q_feature_importance,
     "turnover_report": q_turnover_report,
     "evaluate_accuracy": q_evaluate_accuracy,
+    "stream_clean": q_stream_clean,
+    "stream_score": q_stream_score,
     "run_pipeline": q_run_pipeline,
 }
 
@@ -501,4 +514,5 @@ select employee_id, position, department, age, gender, education, education_fiel
     "smote": SMOTE_SQL,
     "smote_counts": SMOTE_COUNTS_SQL,
     "csv_roundtrip": WITH_CLEAN + "\nselect * from cleaned",
+    "stream_clean": WITH_CLEAN + "\nselect * from cleaned",
 }

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from turnstile import defaults as D
 from turnstile.functions.expressions import name_lookup
 from turnstile.operators.clean import clean, drop_columns
-from turnstile.operators.encode import label_encode, prepare_features
-from turnstile.operators.impute import fill_group_mode, iterative_impute
+from turnstile.operators.encode import apply_dictionary, fit_label_dictionary, prepare_features
+from turnstile.operators.impute import apply_group_modes, group_modes, iterative_impute
 from turnstile.operators.model import (
     evaluate_accuracy,
     feature_importance,
@@ -78,15 +78,21 @@ def prepare_table(df: DataFrame, cols: Columns = Columns(), s: Settings = Settin
         dropped = [c for c in cols.drop if c.lower() in {x.lower() for x in cleaned.columns}]
     slim = drop_columns(cleaned, dropped)
     present = {c.lower() for c in slim.columns}
+    modes = None
     if cols.group.lower() in present and cols.group_value.lower() in present:
-        slim = fill_group_mode(slim, cols.group, cols.group_value, s.null_group, s.empty_group)
+        modes = group_modes(slim, cols.group, cols.group_value).persist()
+        slim = apply_group_modes(slim, modes, cols.group, cols.group_value,
+                                 s.null_group, s.empty_group)
     (id_name,) = name_lookup(slim, [cols.id])
     slim = slim.withColumn("_orig_id", F.col(id_name))
-    encoded, dictionary = label_encode(slim)
-    imputed = iterative_impute(encoded, exclude=(*cols.impute_exclude, "_orig_id"),
-                               max_iter=s.impute_max_iter, estimator=s.impute_estimator)
+    dictionary = fit_label_dictionary(slim)
+    encoded = apply_dictionary(slim, dictionary)
+    imputed, imputer = iterative_impute(encoded, exclude=(*cols.impute_exclude, "_orig_id"),
+                                        max_iter=s.impute_max_iter,
+                                        estimator=s.impute_estimator, return_model=True)
     return {"cleaned": cleaned, "missing_report": report, "dropped": dropped,
-            "dictionary": dictionary, "imputed": imputed}
+            "modes": modes, "label_dictionary": dictionary, "dictionary": dictionary.frame,
+            "imputer": imputer, "imputed": imputed}
 
 
 def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Settings(),
@@ -129,7 +135,9 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
         return result
 
     keep = list(dict.fromkeys([report_id, lab, "split"]))
-    prepared, flat = prepare_features(split, numeric, categorical, keep=keep)
+    prepared, flat, feature_model = prepare_features(split, numeric, categorical, keep=keep,
+                                                     return_model=True)
+    result["feature_model"] = feature_model
     prepared = prepared.persist()
     train = prepared.where(F.col("split") == "train")
     test = prepared.where(F.col("split") == "test")

@@ -16,9 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+ORDERS_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+                 "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+
+
 def emp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HR table with nulls, 'null' text, zeros and epoch seconds (from orders)."""
-    o = table(spark, sf_dir, "orders")
+    return emp_from_orders(table(spark, sf_dir, "orders"))
+
+
+def emp_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same view over a file stream of the orders table."""
+    o = (spark.readStream.schema(ORDERS_SCHEMA).format("parquet")
+         .option("pathGlobFilter", "orders*.parquet").load(sf_dir))
+    return emp_from_orders(o)
+
+
+def emp_from_orders(o: DataFrame) -> DataFrame:
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     null_s = F.lit(None).cast("string")
     days = F.datediff(F.col("o_orderdate"), F.lit("1970-01-01").cast("date"))
