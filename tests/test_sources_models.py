@@ -104,3 +104,28 @@ def test_entry_contract(spark):
     out = E.entry(spark)
     assert out.columns == ["emp_identifier", "turnover_percent"]
     assert out.count() == 1500
+
+
+@pytest.mark.skipif(not os.path.exists(SAMPLE_CSV), reason="sample HR file not present")
+def test_legacy_and_canonical_pipelines_on_sample(spark):
+    from turnstile.plans.pipeline import Settings, run_legacy, run_pipeline
+
+    df = SRC.read_csv(spark, SAMPLE_CSV, infer_schema=True)
+    cfg_cols = ["Employee_ID", "Position", "is_active", "Education", "Job_Satisfaction",
+                "Monthly_Income", "Salary_Scale", "Performance_Scale", "Percent_Salary_Hike",
+                "Performance_Rating", "Total_Working_Years", "Start_Date", "Department", "Age",
+                "Gender", "Education_Field", "Marital_Status", "Standard_Hours", "Hourly_Rate",
+                "Monthly_Rate", "Work_Life_Balance", "Years_At_Company"]
+    df = df.select(*cfg_cols)
+    s = Settings(forest={"numTrees": 10}, mlp_max_iter=10, impute_max_iter=2)
+    legacy = run_legacy(df, s)
+    assert set(legacy["dropped"]) == {"Salary_Scale", "Performance_Scale", "Standard_Hours",
+                                      "Monthly_Rate"}
+    assert legacy["trained"] and legacy["turnover"].count() == 9
+    canon = run_pipeline(df, s=s)
+    assert set(canon["dropped"]) == {"Salary_Scale", "Performance_Scale", "Standard_Hours"}
+    assert canon["trained"]
+    rep = canon["turnover"].collect()
+    assert sorted(r.emp_identifier for r in rep) == list(range(1001, 1010))
+    imp = canon["importances"].collect()
+    assert sum(r.importance for r in imp) == pytest.approx(100.0, abs=1.0)

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from typing import Sequence
+from typing import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -45,11 +45,14 @@ COPY_CHUNK = 10_000
 # k-th smallest (key, id) without a global sort
 # ---------------------------------------------------------------------------
 
-def kth_key(df: DataFrame, key: Column, tie: str, k: int,
-            n: int | None = None) -> tuple[str, object] | None:
+def kth_key(df: DataFrame, key: Column, tie: str,
+            k: int | Callable[[int], int]) -> tuple[str, object] | None:
     """The k-th smallest ``(key, tie)`` (1-based) where ``key`` is a 32-hex-digit
-    string; None for k <= 0.  ``tie`` must be unique within equal keys."""
-    if k <= 0:
+    string; None for k <= 0.  ``tie`` must be unique within equal keys.
+
+    ``k`` may be a function of the row count: the first histogram gives the
+    count, so no separate counting pass is needed."""
+    if not callable(k) and k <= 0:
         return None
     frame = df.select(key.alias("_key"), F.col(tie).alias("_tie"))
     prefix, remaining, level_rows = "", k, frame
@@ -58,6 +61,10 @@ def kth_key(df: DataFrame, key: Column, tie: str, k: int,
         hist = (level_rows.groupBy(F.substring("_key", 1, width).alias("_p"))
                 .agg(F.count(F.lit(1)).alias("_n")).orderBy("_p").collect())
         total = sum(r._n for r in hist)
+        if callable(remaining):
+            remaining = k = remaining(total)
+            if k <= 0:
+                return None
         if remaining > total:
             raise ValueError(f"k={k} exceeds the number of rows")
         before = 0
@@ -102,9 +109,7 @@ def train_test_split(df: DataFrame, id_col: str, test_size: float = D.TEST_SIZE,
     if not exact:
         flag = hash_uniform([i], seed) < F.lit(float(test_size))
     else:
-        n = df.count()
-        k = math.ceil(test_size * n)
-        cut = kth_key(df, key, i, k)
+        cut = kth_key(df, key, i, lambda n: math.ceil(test_size * n))
         flag = _at_or_before(key, F.col(i), cut)
     return df.withColumn(output, F.when(flag, F.lit("test")).otherwise(F.lit("train")))
 
