@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from turnstile import defaults as D
 from turnstile.functions.expressions import is_missing, name_lookup
-from turnstile.session import cut_lineage, maybe_broadcast, spread
+from turnstile.session import cut_lineage, fit_partitions, maybe_broadcast
 
 
 # ---------------------------------------------------------------------------
@@ -119,6 +119,8 @@ def mean_impute(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _EPS = float(np.finfo(np.float64).eps)
+# Rows per partition for the repeated moment aggregates.
+MOMENT_ROWS_PER_PARTITION = 500_000
 
 
 def bayesian_ridge(G: np.ndarray, g: np.ndarray, yy: float, n: float,
@@ -278,7 +280,8 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
         *[F.coalesce(x[c], F.lit(float(means[i]))).alias(vcol[i]) for i, c in enumerate(names)],
         *[x[c].isNull().alias(mcol[i]) for i, c in enumerate(names)],
     )
-    base = spread(base)
+    # Moment sums are light per row: big partitions, few tasks per job.
+    base = fit_partitions(base, int(prof["_rows"] or 0), MOMENT_ROWS_PER_PARTITION)
     any_missing = F.lit(False)
     for i in order:
         any_missing = any_missing | F.col(mcol[i])

@@ -29,7 +29,7 @@ from turnstile.operators.model import (
 )
 from turnstile.operators.profile import class_counts, high_missing_names, missing_percent, require_complete
 from turnstile.operators.sample import smote, train_test_split
-from turnstile.session import cut_lineage, spread
+from turnstile.session import cut_lineage, fit_partitions
 
 
 @dataclass(frozen=True)
@@ -47,6 +47,11 @@ class Columns:
     impute_exclude: tuple[str, ...] = ()         # parity: id and label take part
 
 
+# Rows per partition: the forest does heavy work per row (many trees), the
+# network light work per row but one job per iteration.
+FOREST_ROWS_PER_PARTITION = 1_000
+NETWORK_ROWS_PER_PARTITION = 25_000
+
 LEGACY = Columns(dates=D.HR_DATES_LEGACY, drop=D.HR_LEGACY_DROP)
 
 
@@ -106,9 +111,10 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     result = {"class_counts": counts, "trained": False}
     if not require_complete(df):
         return result                                   # reference skips silently
-    table = cut_lineage(spread(df))
     count_rows = {r[lab]: r["n"] for r in counts.collect()}
     top = max(count_rows.values()) if count_rows else 0
+    n_rows = sum(count_rows.values())
+    table = cut_lineage(fit_partitions(df, n_rows, FOREST_ROWS_PER_PARTITION, per_core=2))
     feature_cols = [c for c in table.columns if c not in (lab, "_orig_id")]
     if s.run_smote or s.use_balanced:
         balanced = smote(table, ident, feature_cols, lab)
@@ -127,7 +133,8 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     split = train_test_split(table, ident, s.test_size, s.split_seed)
     report_id = "_orig_id" if "_orig_id" in table.columns else ident
     if s.fit_forest:
-        forest = fit_forest(split.where(F.col("split") == "train"), feature_cols, lab, **s.forest)
+        forest = fit_forest(split.where(F.col("split") == "train"), feature_cols, lab,
+                            **s.forest)
         result["importances"] = feature_importance(spark, forest, feature_cols)
         result["forest"] = forest
     if not s.fit_network:
@@ -138,7 +145,9 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     prepared, flat, feature_model = prepare_features(split, numeric, categorical, keep=keep,
                                                      return_model=True)
     result["feature_model"] = feature_model
-    prepared = prepared.persist()
+    # The network's gradient per row is cheap: few large partitions keep the
+    # per-iteration job short.
+    prepared = fit_partitions(prepared, n_rows, NETWORK_ROWS_PER_PARTITION).persist()
     train = prepared.where(F.col("split") == "train")
     test = prepared.where(F.col("split") == "test")
     mlp = fit_mlp(train, "features", lab, n_inputs=len(flat), max_iter=s.mlp_max_iter)

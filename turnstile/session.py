@@ -3,6 +3,7 @@ folder, and a size-checked broadcast decision used by every helper join."""
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -66,13 +67,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition only an under-partitioned frame up to the cluster's default
-    parallelism (e.g. one small file read as one split) so iterative work uses
-    every core; a frame that already has enough partitions is left alone."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+def fit_partitions(df: DataFrame, n_rows: int, rows_per_partition: int,
+                   per_core: int = 1) -> DataFrame:
+    """Size partitions to the work per row before iterative jobs.
+
+    Aim at ``ceil(n_rows / rows_per_partition)`` partitions, capped by
+    ``per_core`` x the cluster's default parallelism: too few partitions are raised by a
+    repartition; many tiny partitions are merged by ``coalesce`` (no shuffle),
+    which cuts per-task overhead of jobs repeated per iteration.  A large input
+    whose partitions are already big enough is left as it is.
+    """
+    sc = df.sparkSession.sparkContext
+    cap = sc.defaultParallelism * per_core
+    wanted = max(1, min(cap, math.ceil(max(n_rows, 1) / rows_per_partition)))
+    have = df.rdd.getNumPartitions()
+    if have < wanted:
+        return df.repartition(wanted)
+    if have > wanted and n_rows / have < rows_per_partition:
+        return df.coalesce(wanted)
     return df
 
 
