@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from turnstile import defaults as D
 from turnstile.functions.expressions import hash_rank_key, hash_uniform, name_lookup
-from turnstile.session import cut_lineage
+from turnstile.session import cut_lineage, maybe_broadcast
 
 # Rows a final boundary bucket may hold before it is sorted in one task.
 BOUNDARY_SORT_MAX = 200_000
@@ -149,13 +149,17 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
     xs = [f"_x{a}" for a in range(d)]
 
     # Exact duplicates (same class, same point): distance 0, partner is the
-    # smallest other id of the group.  Aggregated, so a hot point is fine.
+    # smallest other id of the group.  Aggregated, so a hot point is fine; the
+    # duplicated points are few distinct keys, joined back behind a size check.
     groups = pts.groupBy("_cls", *xs).agg(F.min("_id").alias("_m1"),
                                           F.count(F.lit(1)).alias("_cnt"))
-    dup_rows = pts.join(groups.where(F.col("_cnt") > 1), ["_cls", *xs])
+    data = groups.select(F.col("_m1").alias("_id"), "_cls", *xs, "_cnt").persist()
+    dup_keys = data.where(F.col("_cnt") > 1).select(
+        "_cls", *xs, F.col("_id").alias("_m1")).persist()
+    dup_rows = pts.join(maybe_broadcast(dup_keys), ["_cls", *xs])
     second = (dup_rows.where(F.col("_id") != F.col("_m1"))
               .groupBy("_cls", *xs).agg(F.min("_id").alias("_m2")))
-    dup_nn = (dup_rows.join(second, ["_cls", *xs])
+    dup_nn = (dup_rows.join(maybe_broadcast(second.persist()), ["_cls", *xs])
               .select("_id", "_cls",
                       F.when(F.col("_id") == F.col("_m1"), F.col("_m2"))
                       .otherwise(F.col("_m1")).alias("_nn"),
@@ -163,7 +167,6 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
 
     # Distinct points: queries are the singletons; candidates are one
     # representative (smallest id) per distinct point.
-    data = groups.select(F.col("_m1").alias("_id"), "_cls", *xs, "_cnt").persist()
     m = min(grid_dims, d)
     mu, V = _principal_directions(data, xs, m)
     proj = [sum((F.col(xs[a]) - F.lit(float(mu[a]))) * F.lit(float(V[a, b]))
