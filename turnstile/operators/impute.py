@@ -285,10 +285,13 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
     any_missing = F.lit(False)
     for i in order:
         any_missing = any_missing | F.col(mcol[i])
+    if checkpoint:
+        # One reliable write of the prepared table: the complete-row sums, the
+        # incomplete rows and the final output all read it instead of
+        # recomputing the upstream plan three times.
+        base = cut_lineage(base)
     complete = base.where(~any_missing)
     work = base.where(any_missing)
-    if checkpoint:
-        work = cut_lineage(work)
 
     z = [F.col(vcol[i]) - F.lit(float(means[i])) for i in range(p)]
     n_c, s_c, M_c = _moment_row(complete, z)
