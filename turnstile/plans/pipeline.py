@@ -9,6 +9,7 @@ lost executor does not replay cleaning, encoding and imputation.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from typing import Sequence
 
@@ -132,29 +133,39 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
                                                   if c.lower() in {x.lower() for x in table.columns}])]
     split = train_test_split(table, ident, s.test_size, s.split_seed)
     report_id = "_orig_id" if "_orig_id" in table.columns else ident
-    if s.fit_forest:
-        forest = fit_forest(split.where(F.col("split") == "train"), feature_cols, lab,
-                            **s.forest)
-        result["importances"] = feature_importance(spark, forest, feature_cols)
-        result["forest"] = forest
-    if not s.fit_network:
-        result["trained"] = True
-        return result
-
-    keep = list(dict.fromkeys([report_id, lab, "split"]))
-    prepared, flat, feature_model = prepare_features(split, numeric, categorical, keep=keep,
-                                                     return_model=True)
-    result["feature_model"] = feature_model
-    # The network's gradient per row is cheap: few large partitions keep the
-    # per-iteration job short.
-    prepared = fit_partitions(prepared, n_rows, NETWORK_ROWS_PER_PARTITION).persist()
-    train = prepared.where(F.col("split") == "train")
-    test = prepared.where(F.col("split") == "test")
-    mlp = fit_mlp(train, "features", lab, n_inputs=len(flat), max_iter=s.mlp_max_iter)
-    result["turnover"] = turnover_report(mlp, prepared, report_id)
-    result["accuracy"] = evaluate_accuracy(mlp, test, lab)
-    result["feature_names"] = flat
-    result["mlp"], result["trained"] = mlp, True
+    # The forest and the network are independent fits on the same table: the
+    # forest runs on a second thread (as Spark ML's own model-selection
+    # `parallelism` does), so its jobs fill the cores the network's short
+    # per-iteration jobs leave idle.
+    pool = ThreadPoolExecutor(max_workers=1) if s.fit_forest else None
+    forest_job = None
+    if pool is not None:
+        forest_job = pool.submit(fit_forest, split.where(F.col("split") == "train"),
+                                 feature_cols, lab, **s.forest)
+    try:
+        if s.fit_network:
+            keep = list(dict.fromkeys([report_id, lab, "split"]))
+            prepared, flat, feature_model = prepare_features(split, numeric, categorical,
+                                                             keep=keep, return_model=True)
+            result["feature_model"] = feature_model
+            # The network's gradient per row is cheap: few large partitions keep
+            # the per-iteration job short.
+            prepared = fit_partitions(prepared, n_rows, NETWORK_ROWS_PER_PARTITION).persist()
+            train = prepared.where(F.col("split") == "train")
+            test = prepared.where(F.col("split") == "test")
+            mlp = fit_mlp(train, "features", lab, n_inputs=len(flat), max_iter=s.mlp_max_iter)
+            result["turnover"] = turnover_report(mlp, prepared, report_id)
+            result["accuracy"] = evaluate_accuracy(mlp, test, lab)
+            result["feature_names"] = flat
+            result["mlp"] = mlp
+        if forest_job is not None:
+            forest = forest_job.result()
+            result["importances"] = feature_importance(spark, forest, feature_cols)
+            result["forest"] = forest
+    finally:
+        if pool is not None:
+            pool.shutdown(wait=True)
+    result["trained"] = True
     return result
 
 
