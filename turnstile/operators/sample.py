@@ -285,8 +285,8 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str,
     hi = F.least(F.col("_copies"), lo + F.lit(COPY_CHUNK)) - F.lit(1)
     rows = rows.select("*", F.explode(F.sequence(lo, hi)).alias("copy_index"))
 
-    partner = base.select(F.col(i).alias("_nid"),
-                          *[F.col(c).alias(f"_n_{c}") for c in feats])
+    partner = base.where(F.col(lab).isin(list(need))).select(
+        F.col(i).alias("_nid"), *[F.col(c).alias(f"_n_{c}") for c in feats])
     nnk = nn.select(F.col(i).alias("_qid"), F.col("neighbor_id").alias("_nid"))
     joined = (rows.join(nnk, rows[i] == nnk["_qid"]).join(partner, "_nid"))
     u = hash_uniform([F.col(i), F.col("copy_index")], seed)
