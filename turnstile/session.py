@@ -76,6 +76,9 @@ def fit_partitions(df: DataFrame, n_rows: int, rows_per_partition: int,
     repartition; many tiny partitions are merged by ``coalesce`` (no shuffle),
     which cuts per-task overhead of jobs repeated per iteration.  A large input
     whose partitions are already big enough is left as it is.
+
+    Call it on a checkpointed, cached or scan-and-project frame: counting the
+    partitions of a plan with pending shuffles makes AQE run those stages.
     """
     sc = df.sparkSession.sparkContext
     cap = sc.defaultParallelism * per_core
