@@ -30,6 +30,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
