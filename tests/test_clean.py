@@ -1,8 +1,5 @@
-import math
-
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from turnstile.operators import clean as C
 

@@ -16,7 +16,6 @@ from turnstile import defaults as D
 from turnstile.operators import clean as C
 from turnstile.operators import encode as E
 from turnstile.operators import impute as I
-from turnstile.operators import model as M
 from turnstile.operators import profile as P
 from turnstile.operators import sample as S
 from turnstile.plans.pipeline import Columns, Settings, run_pipeline, train_and_score

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
-from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

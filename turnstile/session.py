@@ -4,7 +4,6 @@ folder, and a size-checked broadcast decision used by every helper join."""
 from __future__ import annotations
 
 import math
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,8 +110,3 @@ def maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     if bounded_count(small, max_rows) <= max_rows:
         return F.broadcast(small)
     return small
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
