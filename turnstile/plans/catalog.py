@@ -18,7 +18,7 @@ from turnstile.operators import encode as E
 from turnstile.operators import impute as I
 from turnstile.operators import profile as P
 from turnstile.operators import sample as S
-from turnstile.plans.pipeline import Columns, Settings, run_pipeline, train_and_score
+from turnstile.plans.pipeline import Columns, Settings, run_legacy, run_pipeline, train_and_score
 from turnstile.session import checkpoint_dir
 from turnstile.sources.files import read_csv, write_csv
 from turnstile.sources.fixtures import CUST_EMP_SQL, EMP_SQL, cust_emp, emp, emp_stream
@@ -233,6 +233,16 @@ def q_stream_score(spark, d):
     return run_to_table(model.transform(emp_stream(spark, d)), f"score-{uuid.uuid4().hex}")
 
 
+def q_run_legacy(spark, d):
+    # Legacy variant: a fixed drop list instead of the computed one, and only
+    # the start date treated as epoch seconds.
+    cols = Columns(id="employee_id", label="is_active", group="department",
+                   group_value="position", dates=("start_date",),
+                   drop=("standard_hours", "salary_scale"),
+                   numeric=EMP_COLUMNS.numeric, categorical=EMP_COLUMNS.categorical)
+    return run_legacy(emp(spark, d), Settings(), cols)["turnover"]
+
+
 def q_run_pipeline(spark, d):
     return run_pipeline(emp(spark, d), EMP_COLUMNS, Settings())["turnover"]
 
@@ -274,6 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_clean": q_stream_clean,
     "stream_score": q_stream_score,
     "run_pipeline": q_run_pipeline,
+    "run_legacy": q_run_legacy,
 }
 
 
