@@ -117,3 +117,17 @@ def test_smote_balanced_and_too_small(spark):
                                   "id bigint, y string, f double")
     with pytest.raises(ValueError):
         S.smote(small, "id", ["f"], "y")
+
+
+def test_neighbors_exact_with_dense_cluster(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(400):
+        if i < 300:                                    # tight cluster, all distinct
+            pt = [1000.0 + rnd.random() * 1e-3 for _ in range(3)]
+        else:
+            pt = [rnd.uniform(-1e4, 1e4) for _ in range(3)]
+        rows.append((i, "a" if i % 3 else "b", *pt))
+    df = spark.createDataFrame(rows, "id bigint, cls string, x0 double, x1 double, x2 double")
+    got = S.smote_neighbors(df, "id", ["x0", "x1", "x2"], "cls", max_cell_points=20).collect()
+    assert {r.id: r.neighbor_id for r in got} == _brute_nn(rows)

@@ -39,6 +39,8 @@ BOUNDARY_SORT_MAX = 200_000
 PREFIX_STEP = 4
 # Copies generated per row in one chunk.
 COPY_CHUNK = 10_000
+# Distinct points one grid cell may hold at the starting width.
+MAX_CELL_POINTS = 1_000
 
 
 # ---------------------------------------------------------------------------
@@ -133,7 +135,8 @@ def _principal_directions(pts: DataFrame, feats: Sequence[str], m: int):
 
 def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label: str,
                     classes: Sequence | None = None, grid_dims: int = 3,
-                    target_per_cell: float = 4.0) -> DataFrame:
+                    target_per_cell: float = 4.0,
+                    max_cell_points: int = MAX_CELL_POINTS) -> DataFrame:
     """``(id, label, neighbor_id, distance)``: nearest other row of the same
     class by Euclidean distance on the raw features, ties → smaller id.
 
@@ -186,6 +189,17 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
         volume *= max(s, span * 1e-9)
     width = (volume * target_per_cell / max(n_pts, 1)) ** (1.0 / m) if m else span
     width = max(width, span * 1e-9)
+    # The width above fits the average density.  A dense cluster would pile
+    # many distinct points into one cell (pairs grow with its square), so
+    # halve the width until the fullest cell is under the cap (one aggregate
+    # over the distinct points per step).
+    while width > span * 1e-9:
+        fullest = (data.groupBy("_cls", *[F.floor(F.col(y) / F.lit(float(width))).cast("bigint")
+                                          for y in ys])
+                   .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
+        if fullest <= max_cell_points:
+            break
+        width /= 2.0
 
     offsets = F.array(*[F.array(*[F.lit(o) for o in off])
                         for off in itertools.product((-1, 0, 1), repeat=m)])
