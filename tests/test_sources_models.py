@@ -129,3 +129,23 @@ def test_legacy_and_canonical_pipelines_on_sample(spark):
     assert sorted(r.emp_identifier for r in rep) == list(range(1001, 1010))
     imp = canon["importances"].collect()
     assert sum(r.importance for r in imp) == pytest.approx(100.0, abs=1.0)
+
+
+@pytest.mark.skipif(not os.path.exists(SAMPLE_CSV), reason="sample HR file not present")
+def test_sample_with_explicit_schema_and_config(spark):
+    from turnstile.defaults import HR_SCHEMA
+
+    typed = SRC.read_csv(spark, SAMPLE_CSV, schema=HR_SCHEMA)
+    inferred = SRC.read_csv(spark, SAMPLE_CSV, infer_schema=True)
+    assert typed.columns == inferred.columns
+    assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, inferred.collect()))
+    folder = tempfile.mkdtemp(prefix="turnstile-cfg-")
+    cfg_path = os.path.join(folder, "model_data.json")
+    with open(cfg_path, "w") as f:
+        json.dump({"config": {"data_source": "csv", "list_of_datapoint": {
+            "mandatory": ["Employee_ID", "Position", "is_active"],
+            "optional": ["Department", "Start_Date"]}}}, f)
+    cfg = SRC.read_config(spark, cfg_path)
+    df = SRC.read_configured(spark, SAMPLE_CSV, cfg)
+    assert df.columns == ["Employee_ID", "Position", "is_active", "Department", "Start_Date"]
+    assert df.count() == 9

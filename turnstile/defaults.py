@@ -8,6 +8,18 @@ parameters and never refers to these literals itself.
 # Fixed values (must equal the reference's choices for identical results)
 # ---------------------------------------------------------------------------
 
+# Column types of the HR table (explicit, so the CSV reader needs no
+# inference pass over the data); epoch-second columns are bigint.
+HR_SCHEMA = (
+    "Employee_ID int, Position string, Department string, Age int, Gender string, "
+    "is_active string, Education int, Education_Field string, "
+    "Environment_Satisfaction int, Job_Satisfaction int, Marital_Status string, "
+    "Standard_Hours int, Hourly_Rate int, Monthly_Rate int, Monthly_Income int, "
+    "Salary_Scale string, Num_Companies_Worked int, Percent_Salary_Hike int, "
+    "Performance_Rating int, Performance_Scale string, Total_Working_Years int, "
+    "Work_Life_Balance int, Start_Date bigint, Years_At_Company bigint"
+)
+
 # Columns the sentinel rule leaves untouched.
 HR_EXEMPT = ("Employee_ID", "Education", "Job_Satisfaction", "Marital_Status")
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from turnstile.defaults import HR_SCHEMA
+
 
 @dataclass(frozen=True)
 class Config:
@@ -74,8 +76,12 @@ def read_config(spark: SparkSession, path: str) -> Config:
 
 
 def read_configured(spark: SparkSession, path: str, config: Config,
-                    schema: T.StructType | str | None = None) -> DataFrame:
-    """Scan with the config's format and project its columns on the scan."""
+                    schema: T.StructType | str | None = HR_SCHEMA) -> DataFrame:
+    """Scan with the config's format and project its columns on the scan.
+
+    The HR schema is the default, so a CSV source is read without an
+    inference pass; pass ``schema=None`` to infer instead.
+    """
     df = read_table(spark, path, fmt=config.data_source, schema=schema)
     return df.select(*config.columns)
 
