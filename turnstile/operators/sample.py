@@ -174,6 +174,7 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
     mu, V = _principal_directions(data, xs, m)
     proj = [sum((F.col(xs[a]) - F.lit(float(mu[a]))) * F.lit(float(V[a, b]))
                 for a in range(d)).alias(f"_y{b}") for b in range(m)]
+    points = data
     data = data.select("*", *proj).persist()
     ys = [f"_y{b}" for b in range(m)]
     box = data.agg(F.count(F.lit(1)).alias("n"),
@@ -237,6 +238,9 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
             break
         width *= 2.0
 
+    # The levels live in checkpoints now; release the cached point tables.
+    data.unpersist()
+    points.unpersist()
     out = dup_nn
     for r in resolved:
         out = out.unionByName(r)
