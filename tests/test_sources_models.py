@@ -149,3 +149,12 @@ def test_sample_with_explicit_schema_and_config(spark):
     df = SRC.read_configured(spark, SAMPLE_CSV, cfg)
     assert df.columns == ["Employee_ID", "Position", "is_active", "Department", "Start_Date"]
     assert df.count() == 9
+
+
+def test_network_needs_two_label_levels(spark):
+    from turnstile.plans.pipeline import Columns, Settings, train_and_score
+
+    df = spark.createDataFrame([(1, 0.0, 1.0), (2, 1.0, 2.0), (3, 2.0, 3.0)],
+                               "Employee_ID int, is_active double, Age double")
+    with pytest.raises(ValueError):
+        train_and_score(df, Columns(numeric=("Age",), categorical=()), Settings())

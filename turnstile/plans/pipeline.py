@@ -112,6 +112,9 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     if not require_complete(df):
         return result                                   # reference skips silently
     count_rows = {r[lab]: r["n"] for r in counts.collect()}
+    if s.fit_network and len(count_rows) != 2:
+        raise ValueError(f"label {lab} has levels {sorted(count_rows)}; the network's "
+                         "output has two units, so exactly two are needed")
     top = max(count_rows.values()) if count_rows else 0
     n_rows = sum(count_rows.values())
     table = cut_lineage(fit_partitions(df, n_rows, FOREST_ROWS_PER_PARTITION, per_core=2))
