@@ -43,7 +43,8 @@ class ScoringModel:
         out = drop_columns(clean(df, c.exempt, c.dates), self.dropped)
         if self.modes is not None:
             # A group the fit never saw has no mode: leave the cell null (the
-            # imputer fills it) rather than failing the running stream.
+            # label encoder then gives it the missing code, as in the fit)
+            # rather than failing the running stream.
             out = apply_group_modes(out, self.modes, c.group, c.group_value,
                                     s.null_group, "null")
         (id_name,) = name_lookup(out, [c.id])
