@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import packing, quality_rules, secret_scan, simhash, token_orc, warc
+from turnstile.llm import (
+    crf_quality,
+    decontaminate,
+    line_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_orc,
+    warc,
+    wordpiece_counts,
+)
 from turnstile.llm.common import shared_path, table
 
 
@@ -26,6 +37,11 @@ def op1_warc_segments(spark: SparkSession, d: str) -> DataFrame:
         F.col("type").alias("record_type"), warc.page_number(F.col("refers_to")).alias("refers_to"))
 
 
+def op2_wordpiece_counts(spark: SparkSession, d: str) -> DataFrame:
+    return wordpiece_counts.wordpiece_counts(table(spark, d, "documents"),
+                                             tokenizer_path("piece_bpe_32k.model"))
+
+
 def op3_concat_and_cut(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), tokenizer_path("word_bpe_49k.json"),
                         with_ids=False)
@@ -41,10 +57,27 @@ def op5_host_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, d, "documents"))
 
 
+def op6_fuzzy_lines(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    lines = line_dedup.dropped_lines(docs).select(
+        "doc_id", "text_hash", "n_lines", F.size("dropped").cast("bigint").alias("n_dropped"),
+        F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines"))
+    return lines
+
+
 def op7_secret_layers(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.secret_digests(table(spark, d, "documents"))
 
 
+def op8_crf_quality(spark: SparkSession, d: str) -> DataFrame:
+    return crf_quality.quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op9_containment(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).select(
+        "doc_id", "item_id", "n_shingles", "n_found")
+
+
 def op10_token_orc(spark: SparkSession, d: str) -> DataFrame:
     path = shared_path(spark, "token-orc")
     token_orc.write_token_orc(table(spark, d, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
@@ -53,8 +86,9 @@ def op10_token_orc(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_warc_segments, op3_concat_and_cut, op4_simhash_pigeonring, op5_host_rules,
-        op7_secret_layers, op10_token_orc)
+        op1_warc_segments, op2_wordpiece_counts, op3_concat_and_cut, op4_simhash_pigeonring,
+        op5_host_rules, op6_fuzzy_lines, op7_secret_layers, op8_crf_quality, op9_containment,
+        op10_token_orc)
 }
 
 _SHA1 = "sha1(coalesce(html, ''))"
@@ -127,7 +161,24 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from t join verdict on t.source is not distinct from verdict.source
 """
 
+_SHINGLES = rf"""(
+  select distinct id, w[i:i + 4] as g from (
+    select id, w, unnest(range(1, len(w) - 3)) as i from (
+      select {{id}} as id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w from {{t}}) where len(w) >= 5))"""
+
+OP9_SQL = f"""
+with d as {_SHINGLES.format(id="doc_id", t="documents")},
+     b as {_SHINGLES.format(id="item_id", t="benchmark")},
+     s as (select id, count(*) as n_shingles from b group by id),
+     f as (select d.id as doc_id, b.id as item_id, count(*) as n_found from d join b using (g) group by all)
+select doc_id, item_id, n_shingles, n_found from f join s on s.id = item_id
+where 10 * n_found >= 8 * n_shingles
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_segments": OP1_SQL,
     "op5_host_rules": OP5_SQL,
+    "op9_containment": OP9_SQL,
 }
