@@ -129,8 +129,8 @@ def window_hits(hashes: list[np.ndarray], classes: list[int], slots: np.ndarray
 
 
 def prepared_items(items: DataFrame) -> DataFrame:
-    """(item_id, text, size_class, keys) of the items with a shingle; equal
-    items once."""
+    """(item_key, text, item_id, size_class, keys) of the items with a
+    shingle; equal items once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,15 +148,16 @@ def prepared_items(items: DataFrame) -> DataFrame:
 
     found = items.select(F.col("item_id").cast("bigint"), "text").mapInArrow(
         run, "item_id bigint, text string, size_class int, keys array<bigint>")
-    return found.groupBy("text").agg(F.min("item_id").alias("item_id"),
-                                     F.first("size_class").alias("size_class"), F.first("keys").alias("keys"))
+    return found.groupBy(F.xxhash64("text").alias("item_key"), "text").agg(
+        F.min("item_id").alias("item_id"), F.first("size_class").alias("size_class"),
+        F.first("keys").alias("keys"))
 
 
 def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_id) of the pairs to verify; ``items`` as
+    """(doc_id, text_hash, item_key) of the pairs to verify; ``items`` as
     prepared."""
     spark = docs.sparkSession
-    keys = items.select("item_id", F.explode("keys").alias("key"))
+    keys = items.select("item_key", F.explode("keys").alias("key"))
     # At most one row per class and per slot reaches the driver.
     classes = sorted(r[0] for r in items.select("size_class").distinct().collect())
     slot = F.shiftrightunsigned("key", 64 - SLOT_BITS)
@@ -178,7 +179,7 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text")
     hits = rows.mapInArrow(run, "doc_id bigint, text_hash bigint, key bigint")
-    return hits.join(keys, "key").select("doc_id", "text_hash", "item_id").distinct()
+    return hits.join(keys, "key").select("doc_id", "text_hash", "item_key").distinct()
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -193,7 +194,7 @@ def contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED
     items = written(prepared_items(items), "items")
     pairs = written(candidates(docs, items), "candidates")
     # The items of one document together, so that its text is cut once.
-    wanted = pairs.join(items.select("item_id", F.col("text").alias("item")), "item_id").groupBy(
+    wanted = pairs.join(items.select("item_key", "item_id", F.col("text").alias("item")), "item_key").groupBy(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
             F.collect_list(F.struct("item_id", "item")).alias("items"))
     wanted = written(wanted, "wanted")
