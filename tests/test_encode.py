@@ -77,13 +77,44 @@ def test_one_hot_and_label(spark):
         E.one_hot_label(three, "y")
 
 
-def test_one_hot_wide_column_becomes_vector(spark, monkeypatch):
-    monkeypatch.setattr(E, "FLAT_ONE_HOT_MAX", 3)
-    df = spark.createDataFrame([(i, f"k{i % 10}") for i in range(40)], "id int, k string")
-    out, names = E.one_hot(df, ["k"])
-    assert names == ["k_vec"]
-    v = out.orderBy("id").first().k_vec
-    assert v.size == 10 and v[0] == 1.0
+def test_levels_come_in_natural_order(spark):
+    df = spark.createDataFrame([(i, i % 12, None if i == 7 else f"k{i % 12}") for i in range(40)],
+                               "id int, n int, k string")
+    rows = E.one_hot_long(df, "id", ["n", "k"]).collect()
+    codes = {(r.id, r.column_name): r.code for r in rows}
+    assert len(rows) == 80
+    assert all(codes[i, "n"] == i % 12 for i in range(40))          # 2 before 10
+    text = sorted(f"k{j}" for j in range(12))
+    assert all(codes[i, "k"] == (12 if i == 7 else text.index(f"k{i % 12}")) for i in range(40))
+    out, names = E.one_hot(df, ["n"])
+    assert names == [f"n_{k}" for k in range(12)]
+    assert out.where("id = 10").first().n_10 == 1.0
+
+
+def test_features_of_many_levels_and_unseen_ones(spark):
+    n = 1500                                     # the map-literal and the join path
+    df = spark.createDataFrame([(i, float(i), f"v{i:05d}", i % 3) for i in range(n)],
+                               "id int, x double, v string, c int")
+    out, flat, model = E.prepare_features(df, ["x"], ["v", "c"], keep=["id"], return_model=True)
+    assert len(flat) == 1 + n + 3
+    rows = {r.id: r.features for r in out.collect()}
+    assert all(v.size == 1 + n + 3 for v in rows.values())
+    assert rows[1234][1 + 1234] == 1.0 and rows[1234][1 + n + 1234 % 3] == 1.0
+    new = spark.createDataFrame([(0, 1.0, "unseen", None)], "id int, x double, v string, c int")
+    seen = model.transform(new, keep=["id"]).first().features
+    assert seen.size == 1 + n + 3 and seen.numNonzeros() <= 1
+
+
+def test_dictionary_codes_survive_lost_blocks(spark, monkeypatch):
+    monkeypatch.setattr(E, "SINGLE_TASK_RANK_MAX", 10)
+    monkeypatch.setattr(E, "RANK_PARTITIONS", 5)
+    df = spark.createDataFrame([(f"w{(i * 37) % 500:03d}",) for i in range(900)], "w string")
+    d = E.fit_label_dictionary(df)
+    first = sorted(map(tuple, d.frame.collect()))
+    for rdd in list(spark.sparkContext._jsc.getPersistentRDDs().values()):
+        rdd.unpersist(True)
+    assert sorted(map(tuple, d.frame.collect())) == first
+    assert [c for _, _, c in sorted(first, key=lambda r: r[1])] == list(range(500))
 
 
 def test_prepare_features(spark):
@@ -91,4 +122,9 @@ def test_prepare_features(spark):
     out, flat = E.prepare_features(df, ["x"], ["c"], keep=["id"])
     assert flat == ["x", "c_0", "c_1"]
     row = out.orderBy("id").first()
-    assert len(row.features) == 3 and row.c_0 == 1.0
+    assert out.columns == ["id", "features"]
+    assert len(row.features) == 3 and row.features[1] == 1.0
+    wide, _ = E.prepare_features(df, ["x"], ["c"], keep=["id"], assemble=False)
+    assert wide.orderBy("id").first().c_0 == 1.0
+    with pytest.raises(Exception):
+        E.prepare_features(df, ["x", "absent"], ["c"])

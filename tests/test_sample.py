@@ -66,12 +66,12 @@ def _random_rows(seed, n=300, d=4, classes=("a", "b", "c")):
     return rows
 
 
-@pytest.mark.parametrize("grid_dims,per_cell", [(3, 4.0), (2, 0.05), (1, 1.0)])
-def test_neighbors_exact_against_brute_force(spark, grid_dims, per_cell):
+@pytest.mark.parametrize("leaf_points", [2, 10, 512])
+def test_neighbors_exact_against_brute_force(spark, leaf_points):
     rows = _random_rows(1)
     df = spark.createDataFrame(rows, "id bigint, cls string, x0 double, x1 double, x2 double, x3 double")
     got = S.smote_neighbors(df, "id", ["x0", "x1", "x2", "x3"], "cls",
-                            grid_dims=grid_dims, target_per_cell=per_cell).collect()
+                            leaf_points=leaf_points).collect()
     assert len(got) == len(rows)
     assert {r.id: r.neighbor_id for r in got} == _brute_nn(rows)
 
@@ -129,5 +129,51 @@ def test_neighbors_exact_with_dense_cluster(spark):
             pt = [rnd.uniform(-1e4, 1e4) for _ in range(3)]
         rows.append((i, "a" if i % 3 else "b", *pt))
     df = spark.createDataFrame(rows, "id bigint, cls string, x0 double, x1 double, x2 double")
-    got = S.smote_neighbors(df, "id", ["x0", "x1", "x2"], "cls", max_cell_points=20).collect()
+    got = S.smote_neighbors(df, "id", ["x0", "x1", "x2"], "cls", leaf_points=20).collect()
     assert {r.id: r.neighbor_id for r in got} == _brute_nn(rows)
+
+
+def _examined(n, leaf_points):
+    """Pairs examined per row of an HR-like table: 14 features of very unequal
+    scale, the search run here as the operator runs it."""
+    import numpy as np
+
+    from turnstile.operators.neighbors import Boxes, Tree, examined_pairs, nearest
+
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.permutation(n) * 1.0, rng.gamma(2, 3000, n).round(), rng.integers(0, 2400, n),
+                         rng.integers(30, 100, n), rng.gamma(2, 7000, n).round(), rng.integers(18, 65, n),
+                         rng.integers(0, 40, n), *[rng.integers(0, 5, n) for _ in range(7)]]).astype(float)
+    tree = Tree(x[rng.permutation(n)[:n // leaf_points * 8]], n // leaf_points)
+    leaf = tree.leaf_of(x)
+    members = {int(k): np.nonzero(leaf == k)[0] for k in np.unique(leaf)}
+    boxes = Boxes({k: (x[r].min(axis=0), x[r].max(axis=0)) for k, r in members.items()})
+    visits = {k: 0 for k in members}
+    for k, rows in members.items():
+        d2, _ = nearest(x[rows], rows, x[rows], rows)
+        for other, who in boxes.reached(x[rows], d2, k):
+            visits[other] += len(who)
+    return examined_pairs({k: len(r) for k, r in members.items()}, visits) / n
+
+
+def test_few_pairs_are_examined():
+    small, large = _examined(4_000, 128), _examined(16_000, 128)
+    assert large < 16_000 / 10
+    assert large < 2 * small
+
+
+def test_busy_leaves_are_searched_in_parts(spark, monkeypatch):
+    from turnstile.operators import neighbors as N
+
+    monkeypatch.setattr(N, "VISITS_PER_TASK", 3)
+    rows = _random_rows(9, n=200)
+    df = spark.createDataFrame(rows, "id bigint, cls string, x0 double, x1 double, x2 double, x3 double")
+    got = S.smote_neighbors(df, "id", ["x0", "x1", "x2", "x3"], "cls", leaf_points=5).collect()
+    assert {r.id: r.neighbor_id for r in got} == _brute_nn(rows)
+
+
+def test_class_values_are_bounded(spark):
+    from turnstile.operators.neighbors import MAX_CLASSES, class_values
+
+    with pytest.raises(ValueError):
+        class_values(spark.range(MAX_CLASSES + 1), "id")

@@ -33,7 +33,7 @@ def test_dictionary_join_without_broadcast(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id int, v string")
     small, _ = E.label_encode(df)
     monkeypatch.setattr(E, "INLINE_COLUMN_MAX", 0)
-    monkeypatch.setattr(E, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(E, "BROADCAST_MAX_BYTES", -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big, _ = E.label_encode(df)
@@ -48,7 +48,14 @@ def test_fit_partitions(spark):
     one = spark.range(0, 1000, 1, 1)
     assert fit_partitions(one, 1000, 10).rdd.getNumPartitions() == min(par, 100)
     assert fit_partitions(one, 1000, 10, per_core=2).rdd.getNumPartitions() == min(2 * par, 100)
-    many = spark.range(0, 1000, 1, 50)
-    assert fit_partitions(many, 1000, 500).rdd.getNumPartitions() == 2
-    big = spark.range(0, 100_000, 1, 4)                  # partitions already big enough
-    assert fit_partitions(big, 100_000, 10).rdd.getNumPartitions() == min(par, 10_000) or par < 4
+    many = spark.range(0, 1000, 1, 50)                   # never merged
+    assert fit_partitions(many, 1000, 500).rdd.getNumPartitions() == 50
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    few = spark.createDataFrame([(i, "x" * 1000) for i in range(100)], "i int, t string")
+    size = SESSION.measured_bytes(few)
+    assert 100_000 <= size <= 110_000
+    plan = SESSION.maybe_broadcast(few, size)._jdf.queryExecution().toString()
+    assert "hint" in plan.lower() or "ResolvedHint" in plan
+    assert "ResolvedHint" not in SESSION.maybe_broadcast(few, size - 1)._jdf.queryExecution().toString()

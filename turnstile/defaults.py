@@ -20,6 +20,15 @@ HR_SCHEMA = (
     "Work_Life_Balance int, Start_Date bigint, Years_At_Company bigint"
 )
 
+# The configured columns: mandatory, then optional.
+HR_COLUMNS = (
+    "Employee_ID", "Position", "is_active", "Education", "Job_Satisfaction",
+    "Monthly_Income", "Salary_Scale", "Performance_Scale", "Percent_Salary_Hike",
+    "Performance_Rating", "Total_Working_Years", "Start_Date", "Department", "Age",
+    "Gender", "Education_Field", "Marital_Status", "Standard_Hours", "Hourly_Rate",
+    "Monthly_Rate", "Work_Life_Balance", "Years_At_Company",
+)
+
 # Columns the sentinel rule leaves untouched.
 HR_EXEMPT = ("Employee_ID", "Education", "Job_Satisfaction", "Marital_Status")
 
@@ -30,7 +39,7 @@ HR_DATES = ("Years_At_Company", "Start_Date")
 HR_DATES_LEGACY = ("Start_Date",)
 
 # Legacy variant: the fixed drop list.
-HR_LEGACY_DROP = ("Salary_Scale", "Performance_Scale", "Standard_Hours", "Monthly_Rate")
+HR_LEGACY_DROP = ("Years_At_Company", "Salary_Scale", "Performance_Scale", "Standard_Hours")
 
 # String values the sentinel rule turns into missing (whole value, case-sensitive).
 SENTINEL_STRINGS = ("null", "0")

@@ -76,7 +76,7 @@ def fill_group_mode(df: DataFrame, group: str = D.HR_GROUP, value: str = D.HR_GR
     leaves such cells null.
     """
     g, v = name_lookup(df, [group, value])
-    modes = group_modes(df, g, v).persist()
+    modes = cut_lineage(group_modes(df, g, v))
     return apply_group_modes(df, modes, g, v, null_group, empty_group)
 
 

@@ -6,8 +6,10 @@ aggregated across partitions); only model parameters reach the driver.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
+import numpy as np
 from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 from turnstile import defaults as D
 from turnstile.functions.expressions import name_lookup
 
+# Trees grown in one fit.
+TREES_PER_FIT = 250
+
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
     """Horizontal concatenation of numeric columns into one vector (P12)."""
@@ -33,18 +38,41 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str,
 
     ``label`` must hold class indices 0..k-1 (double).  Parameters default to
     the reference's: 1000 trees, depth 4, 2 rows per leaf, √p features, seed 0.
+
+    Fitting keeps a count per row and tree in the cache, so the trees are grown
+    in batches of TREES_PER_FIT with seeds of their own.
     """
     feats = name_lookup(df, features)
     (lab,) = name_lookup(df, [label])
     settings = {**D.FOREST_PARAMS, **params}
-    rf = RandomForestClassifier(featuresCol=features_col, labelCol=lab, **settings)
-    return rf.fit(assemble(df.select(*feats, lab), feats, features_col))
+    trees, seed = settings.pop("numTrees"), settings.pop("seed")
+    rows = assemble(df.select(*feats, lab), feats, features_col)
+    sizes = [min(TREES_PER_FIT, trees - k) for k in range(0, trees, TREES_PER_FIT)]
+    return Forest([RandomForestClassifier(featuresCol=features_col, labelCol=lab, numTrees=n,
+                                          seed=seed + k, **settings).fit(rows)
+                   for k, n in enumerate(sizes)])
+
+
+@dataclass
+class Forest:
+    """Random forests that count as one."""
+    parts: list
+
+    @property
+    def numTrees(self) -> int:
+        return sum(m.getNumTrees for m in self.parts)
+
+    @property
+    def featureImportances(self) -> np.ndarray:
+        """Mean over the parts by their number of trees, normalised to 1."""
+        total = sum(m.getNumTrees * m.featureImportances.toArray() for m in self.parts)
+        return total / total.sum() if total.sum() else total
 
 
 def feature_importance(spark, model, names: Sequence[str]) -> DataFrame:
     """``(feature, importance)`` with importance = 100 · round(x, 3) (half to
     even), sorted by importance descending then name."""
-    values = model.featureImportances.toArray().tolist()
+    values = np.asarray(model.featureImportances).tolist()
     frame = spark.createDataFrame(list(zip(names, [float(v) for v in values])),
                                   "feature string, raw double")
     return (frame.select("feature", (F.lit(100.0) * F.bround("raw", 3)).alias("importance"))

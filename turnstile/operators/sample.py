@@ -7,11 +7,8 @@ small bucket is sorted; the split itself is then a comparison with the k-th
 ``(key, id)`` — a projection, no shuffle of the table.
 
 ``smote_neighbors`` — exact nearest neighbour inside each class without
-emitting all pairs: exact duplicates are resolved by aggregation; distinct
-points are bucketed on a grid over their top principal coordinates; each
-unresolved point looks only at its 3^m neighbouring cells, and is settled
-once its best distance is within the cell width (any closer point must lie in
-those cells).  Widths double for the still-unresolved points only.
+emitting all pairs: exact duplicates are resolved by aggregation, distinct
+points by a search over k-d leaves (``neighbors.py``).
 
 ``smote`` — every non-majority class is raised to the majority count with
 points on the segment between a row and its neighbour; which rows get one
@@ -21,16 +18,15 @@ single minority row never produces an unbounded run in one task.
 
 from __future__ import annotations
 
-import itertools
 import math
 from typing import Callable, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile import defaults as D
 from turnstile.functions.expressions import hash_rank_key, hash_uniform, name_lookup
+from turnstile.operators.neighbors import LEAF_POINTS, class_values, nearest_points
 from turnstile.session import cut_lineage, maybe_broadcast
 
 # Rows a final boundary bucket may hold before it is sorted in one task.
@@ -39,8 +35,6 @@ BOUNDARY_SORT_MAX = 200_000
 PREFIX_STEP = 4
 # Copies generated per row in one chunk.
 COPY_CHUNK = 10_000
-# Distinct points one grid cell may hold at the starting width.
-MAX_CELL_POINTS = 1_000
 
 
 # ---------------------------------------------------------------------------
@@ -117,26 +111,12 @@ def train_test_split(df: DataFrame, id_col: str, test_size: float = D.TEST_SIZE,
 
 
 # ---------------------------------------------------------------------------
-# M8: nearest neighbour within class (exact, grid over principal coordinates)
+# M8: nearest neighbour within class
 # ---------------------------------------------------------------------------
 
-def _principal_directions(pts: DataFrame, feats: Sequence[str], m: int):
-    """Mean and top-m eigenvectors of the covariance, from one aggregate."""
-    from turnstile.operators.impute import _moment_row
-    n, s, M = _moment_row(pts, [F.col(c) for c in feats])
-    if n == 0:
-        return np.zeros(len(feats)), np.eye(len(feats))[:, :m]
-    mu = s / n
-    C = M / n - np.outer(mu, mu)
-    vals, vecs = np.linalg.eigh(C)
-    order = np.argsort(vals)[::-1][:m]
-    return mu, vecs[:, order]
-
-
 def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label: str,
-                    classes: Sequence | None = None, grid_dims: int = 3,
-                    target_per_cell: float = 4.0,
-                    max_cell_points: int = MAX_CELL_POINTS) -> DataFrame:
+                    classes: Sequence | None = None,
+                    leaf_points: int = LEAF_POINTS) -> DataFrame:
     """``(id, label, neighbor_id, distance)``: nearest other row of the same
     class by Euclidean distance on the raw features, ties → smaller id.
 
@@ -144,109 +124,32 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
     """
     i, lab = name_lookup(df, [id_col, label])
     feats = name_lookup(df, features)
-    d = len(feats)
     pts = df.select(F.col(i).alias("_id"), F.col(lab).alias("_cls"),
                     *[F.col(c).cast("double").alias(f"_x{a}") for a, c in enumerate(feats)])
     if classes is not None:
         pts = pts.where(F.col("_cls").isin(list(classes)))
-    xs = [f"_x{a}" for a in range(d)]
+    xs = [f"_x{a}" for a in range(len(feats))]
 
     # Exact duplicates (same class, same point): distance 0, partner is the
     # smallest other id of the group.  Aggregated, so a hot point is fine; the
     # duplicated points are few distinct keys, joined back behind a size check.
-    groups = pts.groupBy("_cls", *xs).agg(F.min("_id").alias("_m1"),
-                                          F.count(F.lit(1)).alias("_cnt"))
-    data = groups.select(F.col("_m1").alias("_id"), "_cls", *xs, "_cnt").persist()
-    dup_keys = data.where(F.col("_cnt") > 1).select(
-        "_cls", *xs, F.col("_id").alias("_m1")).persist()
+    data = cut_lineage(pts.groupBy("_cls", *xs).agg(F.min("_id").alias("_id"),
+                                                    F.count(F.lit(1)).alias("_cnt")))
+    dup_keys = data.where(F.col("_cnt") > 1).select("_cls", *xs, F.col("_id").alias("_m1"))
     dup_rows = pts.join(maybe_broadcast(dup_keys), ["_cls", *xs])
-    second = (dup_rows.where(F.col("_id") != F.col("_m1"))
-              .groupBy("_cls", *xs).agg(F.min("_id").alias("_m2")))
-    dup_nn = (dup_rows.join(maybe_broadcast(second.persist()), ["_cls", *xs])
+    second = cut_lineage(dup_rows.where(F.col("_id") != F.col("_m1"))
+                         .groupBy("_cls", *xs).agg(F.min("_id").alias("_m2")))
+    dup_nn = (dup_rows.join(maybe_broadcast(second), ["_cls", *xs])
               .select("_id", "_cls",
                       F.when(F.col("_id") == F.col("_m1"), F.col("_m2"))
                       .otherwise(F.col("_m1")).alias("_nn"),
                       F.lit(0.0).alias("_d2")))
-
-    # Distinct points: queries are the singletons; candidates are one
-    # representative (smallest id) per distinct point.
-    m = min(grid_dims, d)
-    mu, V = _principal_directions(data, xs, m)
-    proj = [sum((F.col(xs[a]) - F.lit(float(mu[a]))) * F.lit(float(V[a, b]))
-                for a in range(d)).alias(f"_y{b}") for b in range(m)]
-    points = data
-    data = data.select("*", *proj).persist()
-    ys = [f"_y{b}" for b in range(m)]
-    box = data.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.min(y).alias(f"lo{b}") for b, y in enumerate(ys)],
-                   *[F.max(y).alias(f"hi{b}") for b, y in enumerate(ys)]).first()
-    n_pts = box["n"]
-    spans = [max((box[f"hi{b}"] or 0.0) - (box[f"lo{b}"] or 0.0), 0.0) for b in range(m)]
-    span = max(spans) if spans else 0.0
-    if span == 0.0:
-        span = 1.0
-    volume = 1.0
-    for s in spans:
-        volume *= max(s, span * 1e-9)
-    width = (volume * target_per_cell / max(n_pts, 1)) ** (1.0 / m) if m else span
-    width = max(width, span * 1e-9)
-    # The width above fits the average density.  A dense cluster would pile
-    # many distinct points into one cell (pairs grow with its square), so
-    # halve the width until the fullest cell is under the cap (one aggregate
-    # over the distinct points per step).
-    while width > span * 1e-9:
-        fullest = (data.groupBy("_cls", *[F.floor(F.col(y) / F.lit(float(width))).cast("bigint")
-                                          for y in ys])
-                   .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
-        if fullest <= max_cell_points:
-            break
-        width /= 2.0
-
-    offsets = F.array(*[F.array(*[F.lit(o) for o in off])
-                        for off in itertools.product((-1, 0, 1), repeat=m)])
-    queries = data.where(F.col("_cnt") == 1).select("_id", "_cls", *xs, *ys)
-    resolved: list[DataFrame] = []
-    while True:
-        w = F.lit(float(width))
-        cells = [F.floor(F.col(y) / w).cast("bigint") for y in ys]
-        cand = data.select(F.col("_id").alias("_cid"), "_cls",
-                           *[F.col(x).alias(f"_c{x}") for x in xs],
-                           *[c.alias(f"_cell{b}") for b, c in enumerate(cells)])
-        q = queries.select("*", F.explode(offsets).alias("_off"))
-        q = q.select("*", *[(cells[b] + F.col("_off")[b]).alias(f"_cell{b}") for b in range(m)])
-        pairs = q.join(cand, ["_cls", *[f"_cell{b}" for b in range(m)]]).where(
-            F.col("_cid") != F.col("_id"))
-        d2 = None
-        for x in xs:
-            t = (F.col(x) - F.col(f"_c{x}")) * (F.col(x) - F.col(f"_c{x}"))
-            d2 = t if d2 is None else d2 + t
-        best = (pairs.groupBy("_id").agg(F.min(F.struct(d2.alias("d2"), F.col("_cid").alias("id")))
-                                         .alias("_b")))
-        scored = queries.join(best, "_id", "left").select(
-            "_id", "_cls", *xs, *ys, F.col("_b.d2").alias("_d2"), F.col("_b.id").alias("_nn"))
-        last = width >= span
-        done_cond = F.lit(True) if last else F.coalesce(
-            F.col("_d2") <= F.lit(float(width * width)), F.lit(False))
-        # Reliable checkpoint per level: the next level starts from a short
-        # plan over only the unresolved points.
-        scored = cut_lineage(scored)
-        resolved.append(scored.where(done_cond).select("_id", "_cls", "_nn", "_d2"))
-        if last:
-            break
-        queries = scored.where(~done_cond).select("_id", "_cls", *xs, *ys)
-        if queries.limit(1).count() == 0:
-            break
-        width *= 2.0
-
-    # The levels live in checkpoints now; release the cached point tables.
-    data.unpersist()
-    points.unpersist()
-    out = dup_nn
-    for r in resolved:
-        out = out.unionByName(r)
-    return out.select(F.col("_id").alias(i), F.col("_cls").alias(lab),
-                      F.col("_nn").alias("neighbor_id"),
-                      F.sqrt(F.col("_d2")).alias("distance"))
+    # Distinct points search among one representative (smallest id) per point.
+    single = data.where(F.col("_cnt") == 1).select("_id")
+    found = nearest_points(data, "_id", "_cls", xs, leaf_points).join(single, "_id", "left_semi")
+    return dup_nn.unionByName(found).select(
+        F.col("_id").alias(i), F.col("_cls").alias(lab), F.col("_nn").alias("neighbor_id"),
+        F.sqrt(F.col("_d2")).alias("distance"))
 
 
 # ---------------------------------------------------------------------------
@@ -266,11 +169,17 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str,
     """
     i, lab = name_lookup(df, [id_col, label])
     feats = name_lookup(df, features)
-    counts = {r[lab]: r["n"] for r in
-              df.groupBy(lab).agg(F.count(F.lit(1)).alias("n")).collect()}
-    base = df.select(i, lab, *[F.col(c).cast("double").alias(c) for c in feats])
-    originals = base.select("*", F.lit(False).alias("is_synthetic"),
+    class_values(df, lab)                       # raises if it is no class label
+    # Private names: the id may be a feature as well.
+    xs = [f"_f{a}" for a in range(len(feats))]
+    base = df.select(F.col(i).alias("_sid"), F.col(lab).alias("_scls"),
+                     *[F.col(c).cast("double").alias(x) for c, x in zip(feats, xs)])
+    names = [F.col("_sid").alias(i), F.col("_scls").alias(lab),
+             *[F.col(x).alias(c) for c, x in zip(feats, xs) if c not in (i, lab)]]
+    originals = base.select(*names, F.lit(False).alias("is_synthetic"),
                             F.lit(None).cast("bigint").alias("copy_index"))
+    counts = {r["_scls"]: r["n"] for r in
+              base.groupBy("_scls").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return originals
     top = max(counts.values())
@@ -281,34 +190,31 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str,
     if small:
         raise ValueError(f"classes {small} have fewer than 2 rows; cannot interpolate")
 
-    key = hash_rank_key([i], seed)
+    key = hash_rank_key(["_sid"], seed)
     copies = F.lit(0).cast("bigint")
     for c, m_c in need.items():
-        n_c = counts[c]
-        q, r = divmod(m_c, n_c)
-        cut = kth_key(df.where(F.col(lab) == F.lit(c)), key, i, r)
-        extra = _at_or_before(key, F.col(i), cut).cast("bigint")
-        copies = F.when(F.col(lab) == F.lit(c), F.lit(q).cast("bigint") + extra).otherwise(copies)
-
-    nn = neighbors if neighbors is not None else smote_neighbors(
-        df.where(F.col(lab).isin(list(need))), i, feats, lab)
-    rows = base.where(F.col(lab).isin(list(need))).select("*", copies.alias("_copies"))
+        q, r = divmod(m_c, counts[c])
+        cut = kth_key(base.where(F.col("_scls") == F.lit(c)), key, "_sid", r)
+        extra = _at_or_before(key, F.col("_sid"), cut).cast("bigint")
+        copies = F.when(F.col("_scls") == F.lit(c), F.lit(q).cast("bigint") + extra).otherwise(copies)
+
+    raised = base.where(F.col("_scls").isin(list(need)))
+    nn = neighbors if neighbors is not None else smote_neighbors(raised, "_sid", xs, "_scls")
+    rows = raised.select("*", copies.alias("_copies"))
     rows = rows.where(F.col("_copies") > 0)
     chunks = F.sequence(F.lit(0).cast("bigint"),
                         ((F.col("_copies") - 1) / F.lit(COPY_CHUNK)).cast("bigint"))
     rows = rows.select("*", F.explode(chunks).alias("_chunk"))
     if max(divmod(m, counts[c])[0] + 1 for c, m in need.items()) > COPY_CHUNK:
-        rows = rows.repartition(i, "_chunk")
+        rows = rows.repartition("_sid", "_chunk")
     lo = F.col("_chunk") * F.lit(COPY_CHUNK)
     hi = F.least(F.col("_copies"), lo + F.lit(COPY_CHUNK)) - F.lit(1)
     rows = rows.select("*", F.explode(F.sequence(lo, hi)).alias("copy_index"))
 
-    partner = base.where(F.col(lab).isin(list(need))).select(
-        F.col(i).alias("_nid"), *[F.col(c).alias(f"_n_{c}") for c in feats])
-    nnk = nn.select(F.col(i).alias("_qid"), F.col("neighbor_id").alias("_nid"))
-    joined = (rows.join(nnk, rows[i] == nnk["_qid"]).join(partner, "_nid"))
-    u = hash_uniform([F.col(i), F.col("copy_index")], seed)
-    synth = joined.select(
-        i, lab, *[(F.col(c) + u * (F.col(f"_n_{c}") - F.col(c))).alias(c) for c in feats],
-        F.lit(True).alias("is_synthetic"), F.col("copy_index").cast("bigint"))
-    return originals.unionByName(synth)
+    partner = raised.select(F.col("_sid").alias("_nid"), *[F.col(x).alias(f"_n{x}") for x in xs])
+    nnk = nn.select(F.col(nn.columns[0]).alias("_qid"), F.col("neighbor_id").alias("_nid"))
+    joined = (rows.join(nnk, F.col("_sid") == F.col("_qid")).join(partner, "_nid"))
+    u = hash_uniform([F.col("_sid"), F.col("copy_index")], seed)
+    synth = joined.select("_sid", "_scls", *[(F.col(x) + u * (F.col(f"_n{x}") - F.col(x))).alias(x) for x in xs],
+                          F.lit(True).alias("is_synthetic"), F.col("copy_index").cast("bigint"))
+    return originals.unionByName(synth.select(*names, "is_synthetic", "copy_index"))

@@ -27,6 +27,7 @@ from turnstile.operators.model import (
     fit_mlp,
     turnover_report,
 )
+from turnstile.operators.neighbors import class_values
 from turnstile.operators.profile import class_counts, high_missing_names, missing_percent, require_complete
 from turnstile.operators.sample import smote, train_test_split
 from turnstile.session import cut_lineage, fit_partitions
@@ -67,7 +68,6 @@ class Settings:
     forest: dict = field(default_factory=dict)
     mlp_max_iter: int = D.MLP_MAX_ITER
     use_balanced: bool = False       # parity: balanced rows are only counted
-    run_smote: bool = False          # run the real oversampler (costly) for its counts
     fit_forest: bool = True          # importances
     fit_network: bool = True         # turnover report and accuracy
 
@@ -76,16 +76,17 @@ def prepare_table(df: DataFrame, cols: Columns = Columns(), s: Settings = Settin
     """L1 up to the imputed table: clean → profile → drop → mode fill →
     label encode → chained-equation imputation."""
     cleaned = clean(df, cols.exempt, cols.dates)
-    report = missing_percent(cleaned).persist()
+    # One row per column, read several times.
+    report = cut_lineage(missing_percent(cleaned))
     if cols.drop is None:
         dropped = high_missing_names(cleaned, s.threshold, report=report)
     else:
-        dropped = [c for c in cols.drop if c.lower() in {x.lower() for x in cleaned.columns}]
+        dropped = name_lookup(cleaned, cols.drop)      # an absent column raises
     slim = drop_columns(cleaned, dropped)
     present = {c.lower() for c in slim.columns}
     modes = None
     if cols.group.lower() in present and cols.group_value.lower() in present:
-        modes = group_modes(slim, cols.group, cols.group_value).persist()
+        modes = cut_lineage(group_modes(slim, cols.group, cols.group_value))
         slim = apply_group_modes(slim, modes, cols.group, cols.group_value,
                                  s.null_group, s.empty_group)
     (id_name,) = name_lookup(slim, [cols.id])
@@ -109,31 +110,27 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     (lab,) = name_lookup(df, [cols.label])
     counts = class_counts(df, lab)
     result = {"class_counts": counts, "trained": False}
+    class_values(df, lab)                               # raises if it is no class label
     if not require_complete(df):
         return result                                   # reference skips silently
     count_rows = {r[lab]: r["n"] for r in counts.collect()}
     if s.fit_network and len(count_rows) != 2:
         raise ValueError(f"label {lab} has levels {sorted(count_rows)}; the network's "
                          "output has two units, so exactly two are needed")
-    top = max(count_rows.values()) if count_rows else 0
     n_rows = sum(count_rows.values())
     table = cut_lineage(fit_partitions(df, n_rows, FOREST_ROWS_PER_PARTITION, per_core=2))
     feature_cols = [c for c in table.columns if c not in (lab, "_orig_id")]
-    if s.run_smote or s.use_balanced:
-        balanced = smote(table, ident, feature_cols, lab)
-        result["balanced_counts"] = class_counts(balanced, lab)
-        if s.use_balanced:
-            table = cut_lineage(balanced.drop("is_synthetic", "copy_index"))
-    else:
-        # Every class ends at the majority count; no need to build the rows.
-        result["balanced_counts"] = spark.createDataFrame(
-            [(float(k), top) for k in count_rows], f"{lab} double, n bigint")
-
-    numeric = [c for c in name_lookup(table, [c for c in cols.numeric
-                                              if c.lower() in {x.lower() for x in table.columns}])]
-    categorical = [c for c in name_lookup(table, [c for c in cols.categorical
-                                                  if c.lower() in {x.lower() for x in table.columns}])]
-    split = train_test_split(table, ident, s.test_size, s.split_seed)
+    # The split is on the id as it was read: the imputed one is a double.
+    split_id = "_orig_id" if "_orig_id" in table.columns else ident
+    numeric, categorical = name_lookup(table, cols.numeric), name_lookup(table, cols.categorical)
+    split = train_test_split(table, split_id, s.test_size, s.split_seed)
+    # SMOTE on the whole table, as the reference runs it: for its counts.
+    result["balanced_counts"] = class_counts(smote(table, split_id, feature_cols, lab), lab)
+    train_rows = split.where(F.col("split") == "train")
+    if s.use_balanced:
+        # Only the train part; synthetic rows are in no report.
+        train_rows = cut_lineage(smote(train_rows, split_id, feature_cols, lab)
+                                 .drop("is_synthetic", "copy_index")).withColumn("split", F.lit("train"))
     report_id = "_orig_id" if "_orig_id" in table.columns else ident
     # The forest and the network are independent fits on the same table: the
     # forest runs on a second thread (as Spark ML's own model-selection
@@ -142,8 +139,7 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     pool = ThreadPoolExecutor(max_workers=1) if s.fit_forest else None
     forest_job = None
     if pool is not None:
-        forest_job = pool.submit(fit_forest, split.where(F.col("split") == "train"),
-                                 feature_cols, lab, **s.forest)
+        forest_job = pool.submit(fit_forest, train_rows, feature_cols, lab, **s.forest)
     try:
         if s.fit_network:
             keep = list(dict.fromkeys([report_id, lab, "split"]))
@@ -152,10 +148,12 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
             result["feature_model"] = feature_model
             # The network's gradient per row is cheap: few large partitions keep
             # the per-iteration job short.
-            prepared = fit_partitions(prepared, n_rows, NETWORK_ROWS_PER_PARTITION).persist()
-            train = prepared.where(F.col("split") == "train")
+            prepared = fit_partitions(prepared, n_rows, NETWORK_ROWS_PER_PARTITION)
             test = prepared.where(F.col("split") == "test")
+            train = (feature_model.transform(train_rows, keep=[lab]) if s.use_balanced
+                     else prepared.where(F.col("split") == "train")).persist()
             mlp = fit_mlp(train, "features", lab, n_inputs=len(flat), max_iter=s.mlp_max_iter)
+            train.unpersist()
             result["turnover"] = turnover_report(mlp, prepared, report_id)
             result["accuracy"] = evaluate_accuracy(mlp, test, lab)
             result["feature_names"] = flat

@@ -4,15 +4,19 @@ folder, and a size-checked broadcast decision used by every helper join."""
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a side may have before we stop broadcasting it.  Every small side in
+# Bytes a side may have before we stop broadcasting it.  Every small side in
 # this library is an aggregate (modes per group, dictionary entries, offsets),
-# so the check is a count over an already-reduced table.
-BROADCAST_MAX_ROWS = 2_000_000
+# so measuring it is one pass over an already-reduced table.
+BROADCAST_MAX_BYTES = 64 << 20
+# Per row and per fixed-width value of a broadcast table, about.
+ROW_BYTES, VALUE_BYTES = 32, 8
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -52,7 +56,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/...) so iterative operators can cut lineage reliably")
@@ -69,44 +73,40 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def fit_partitions(df: DataFrame, n_rows: int, rows_per_partition: int,
                    per_core: int = 1) -> DataFrame:
-    """Size partitions to the work per row before iterative jobs.
+    """Raise the number of partitions to the work per row before iterative jobs.
 
-    Aim at ``ceil(n_rows / rows_per_partition)`` partitions, capped by
-    ``per_core`` x the cluster's default parallelism: too few partitions are raised by a
-    repartition; many tiny partitions are merged by ``coalesce`` (no shuffle),
-    which cuts per-task overhead of jobs repeated per iteration.  A large input
-    whose partitions are already big enough is left as it is.
+    Aim at ``ceil(n_rows / rows_per_partition)`` partitions, at most
+    ``per_core`` x the cluster's default parallelism.  A frame that has as many
+    is left as it is; partitions are never merged (adaptive execution does that
+    by size).
 
     Call it on a checkpointed, cached or scan-and-project frame: counting the
     partitions of a plan with pending shuffles makes AQE run those stages.
     """
-    sc = df.sparkSession.sparkContext
-    cap = sc.defaultParallelism * per_core
+    cap = df.sparkSession.sparkContext.defaultParallelism * per_core
     wanted = max(1, min(cap, math.ceil(max(n_rows, 1) / rows_per_partition)))
-    have = df.rdd.getNumPartitions()
-    if have < wanted:
-        return df.repartition(wanted)
-    if have > wanted and n_rows / have < rows_per_partition:
-        return df.coalesce(wanted)
-    return df
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """Count rows but stop scanning once ``limit`` is exceeded.
-
-    Returns ``limit + 1`` when the table is larger than the limit, so callers
-    can make a size decision without a full count of a huge side.
-    """
-    return df.limit(limit + 1).count()
+def measured_bytes(df: DataFrame) -> int:
+    """About how many bytes ``df`` takes in memory: one aggregate."""
+    width = F.lit(ROW_BYTES)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0)) + VALUE_BYTES
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            width = width + VALUE_BYTES
+    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only if its row count is proven under ``max_rows``.
+def maybe_broadcast(small: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``small`` only if its measured size is within ``max_bytes``.
 
     Otherwise return it unchanged so Spark plans a shuffle join (AQE may still
     demote it to a broadcast at runtime from measured stage sizes, and splits
     skewed partitions of the large side).
     """
-    if bounded_count(small, max_rows) <= max_rows:
-        return F.broadcast(small)
-    return small
+    return F.broadcast(small) if measured_bytes(small) <= max_bytes else small

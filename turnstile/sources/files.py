@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 from turnstile.defaults import HR_SCHEMA
 
 
+# Column of the lines that hold a bad cell (``read_csv(bad_cells="report")``).
+BAD_RECORD = "_bad_record"
+
+
 @dataclass(frozen=True)
 class Config:
     """Datapoint config: declared source format plus the column lists."""
@@ -24,25 +28,54 @@ class Config:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              delimiter: str = ",", header: bool = True, infer_schema: bool = False,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, bad_cells: str = "error",
+             multi_line: bool = False) -> DataFrame:
     """Delimited scan with a header row.
 
     Give ``schema`` to avoid the extra inference pass over the files (the
-    default at scale).  ``infer_schema=True`` reproduces the reference's typing
-    (a literal ``null`` in a numeric column makes the whole column text).
-    ``columns`` projects directly on the scan so the reader prunes the rest.
-    The reader strips a UTF-8 BOM and CRLF line ends.
+    default at scale); its columns are found by their names in the header, in
+    whatever order the file has them, and a file whose header differs raises.
+    ``infer_schema=True`` reproduces the reference's typing (a literal ``null``
+    in a numeric column makes the whole column text).  ``columns`` projects
+    directly on the scan so the reader prunes the rest.
+
+    ``bad_cells``, for a cell that doesn't fit its type: ``error`` raises,
+    ``null`` makes it null, ``report`` also keeps the line in ``_bad_record``.
+    ``multi_line`` allows line ends inside quoted cells (such files can't be
+    split).  The reader strips a UTF-8 BOM and CRLF line ends.
     """
-    reader = (spark.read.format("csv").option("delimiter", delimiter)
-              .option("header", header).option("encoding", "UTF-8"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer_schema:
-        reader = reader.option("inferSchema", True)
-    df = reader.load(path)
-    if columns is not None:
-        df = df.select(*columns)
-    return df
+    if bad_cells not in ("error", "null", "report"):
+        raise ValueError("bad_cells must be 'error', 'null' or 'report'")
+
+    def reader():
+        return (spark.read.format("csv").option("delimiter", delimiter)
+                .option("header", header).option("encoding", "UTF-8")
+                .option("escape", '"').option("multiLine", multi_line)
+                .option("mode", "FAILFAST" if bad_cells == "error" else "PERMISSIVE"))
+
+    if schema is None:
+        df = (reader().option("inferSchema", True) if infer_schema else reader()).load(path)
+        return df if columns is None else df.select(*columns)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    wanted = {f.name.lower(): f for f in schema.fields}
+    fields = schema.fields
+    if header:
+        # Reads the first line only.
+        names = reader().load(path).columns
+        absent = [f.name for f in schema.fields if f.name.lower() not in {n.lower() for n in names}]
+        if absent:
+            raise ValueError(f"no column(s) {', '.join(absent)} in the header of {path}")
+        fields = [T.StructField(n, wanted[n.lower()].dataType if n.lower() in wanted else T.StringType())
+                  for n in names]
+    scan = reader().option("enforceSchema", not header)
+    if bad_cells == "report":
+        fields = [*fields, T.StructField(BAD_RECORD, T.StringType())]
+        scan = scan.option("columnNameOfCorruptRecord", BAD_RECORD)
+    df = scan.schema(T.StructType(fields)).load(path)
+    df = df.select(*[df[f"`{f.name}`"].alias(f.name) for f in schema.fields],
+                   *([BAD_RECORD] if bad_cells == "report" else []))
+    return df if columns is None else df.select(*columns)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "csv",
@@ -87,9 +120,11 @@ def read_configured(spark: SparkSession, path: str, config: Config,
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """Export with a header and no index (a folder of part files).
+    """Export with a header and no index (a folder of part files).  White
+    space and quotes come back as they were; an empty text comes back as null.
 
     Returns its input, as the reference's export did.
     """
-    df.write.mode(mode).option("header", True).csv(path)
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return df

@@ -28,7 +28,7 @@ def emp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def emp_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same view over a file stream of the orders table."""
     o = (spark.readStream.schema(ORDERS_SCHEMA).format("parquet")
-         .option("pathGlobFilter", "orders*.parquet").load(sf_dir))
+         .load(f"{sf_dir.rstrip('/')}/orders.parquet"))
     return emp_from_orders(o)
 
 
