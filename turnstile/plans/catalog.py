@@ -11,6 +11,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile import defaults as D
 from turnstile.operators import clean as C
@@ -161,6 +162,10 @@ def q_one_hot(spark, d):
     return out
 
 
+def q_one_hot_wide(spark, d):
+    return E.one_hot_long(_cleaned(spark, d), "employee_id", EMP_STRINGS)
+
+
 def q_one_hot_label(spark, d):
     out, _ = E.one_hot_label(emp(spark, d).select("employee_id", "is_active"), "is_active")
     return out
@@ -186,6 +191,22 @@ def q_smote_neighbors(spark, d):
     return _r(out, ["distance"])
 
 
+# Twelve features of very unequal scale, as in the HR table, from the customers.
+WIDE_FEATURES = ["employee_id", "monthly_income", "age", "total_working_years", *[f"f{k}" for k in range(8)]]
+
+
+def _wide_emp(spark, d):
+    k = F.col("employee_id")
+    mods = [3, 4, 5, 7, 40, 97, 1009, 2411]
+    return cust_emp(spark, d).select(
+        "*", *[((k * (2 * j + 3)) % m).cast("double").alias(f"f{j}") for j, m in enumerate(mods)])
+
+
+def q_smote_neighbors_wide(spark, d):
+    out = S.smote_neighbors(_wide_emp(spark, d), "employee_id", WIDE_FEATURES, "is_active")
+    return _r(out, ["distance"])
+
+
 def q_smote(spark, d):
     out = S.smote(cust_emp(spark, d).drop("department"), "employee_id", CUST_FEATURES,
                   "is_active")
@@ -199,10 +220,14 @@ def q_smote_counts(spark, d):
 
 
 def q_csv_roundtrip(spark, d):
-    cleaned = _cleaned(spark, d)
+    # Texts with spaces at both ends, quotes and separators; read by names in
+    # another order than the file's.
+    cleaned = _cleaned(spark, d).withColumn("note", F.concat(
+        F.lit(' "'), F.coalesce("position", F.lit("none")), F.lit('", 0 ')))
     path = f"{checkpoint_dir(spark).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
     write_csv(cleaned, path)
-    return read_csv(spark, path, schema=cleaned.schema)
+    turned = T.StructType(list(reversed(cleaned.schema.fields)))
+    return read_csv(spark, path, schema=turned)
 
 
 def _cust_trained(spark, d, forest: bool = True, network: bool = True):
@@ -210,6 +235,83 @@ def _cust_trained(spark, d, forest: bool = True, network: bool = True):
     return train_and_score(_encoded_cust(spark, d), CUST_COLUMNS, settings)
 
 
+def q_balanced_counts(spark, d):
+    """SMOTE as the training step runs it, the id among the features."""
+    settings = Settings(fit_forest=False, fit_network=False)
+    return train_and_score(_encoded_cust(spark, d), CUST_COLUMNS, settings)["balanced_counts"]
+
+
+# Companions of the model queries: what must hold whatever the model learnt.
+
+def q_turnover_check(spark, d):
+    t = _cust_trained(spark, d, forest=False)["turnover"]
+    p = F.col("turnover_percent")
+    return t.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("emp_identifier").alias("n_ids"),
+                 F.sum("emp_identifier").alias("id_sum"),
+                 F.count_if(p.isNull() | F.isnan(p) | (p < 0) | (p > 100)).alias("n_out_of_range"))
+
+
+def q_importance_check(spark, d):
+    i = _cust_trained(spark, d, network=False)["importances"]
+    total = i.agg(F.sum("importance").alias("total"), F.min("importance").alias("least"))
+    return i.crossJoin(F.broadcast(total)).select(
+        "feature", (F.abs(F.col("total") - 100.0) <= 1.0).alias("sums_to_100"),
+        (F.col("least") >= 0).alias("none_negative"))
+
+
+def q_accuracy_check(spark, d):
+    a = _cust_trained(spark, d, forest=False)["accuracy"]
+    share = cust_emp(spark, d).agg((100.0 * F.avg((F.col("is_active") == "Yes").cast("double"))).alias("share"))
+    # The test part is a fifth of the rows, so its own share may differ a little.
+    return a.crossJoin(F.broadcast(share)).select(
+        "n_rows", (F.col("accuracy_percent") >= F.col("share") - 10).alias("at_least_majority"))
+
+
+def q_stream_equals_batch(spark, d):
+    from turnstile.streaming.score import fit_scoring_model, run_to_table
+    model = fit_scoring_model(emp(spark, d), EMP_COLUMNS)
+    stream = run_to_table(model.transform(emp_stream(spark, d)), f"same-{uuid.uuid4().hex}")
+    batch = model.transform(emp(spark, d))
+    a = stream.select(F.col("emp_identifier").alias("i"), F.round("turnover_percent", 6).alias("p"))
+    b = batch.select(F.col("emp_identifier").alias("i"), F.round("turnover_percent", 6).alias("p"))
+    both = a.join(b.withColumnRenamed("p", "q"), "i", "full")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(~F.col("p").eqNullSafe(F.col("q"))).alias("n_different"))
+
+
+def q_impute_check(spark, d):
+    """Complete after imputation, and observed cells unchanged."""
+    enc, _ = E.label_encode(_cleaned(spark, d).drop("salary_scale", "standard_hours"))
+    done = I.iterative_impute(enc, exclude=["employee_id"])
+    names = [c for c in enc.columns if c != "employee_id"]
+    both = done.join(enc.select("employee_id", *[F.col(c).alias(f"_{c}") for c in names]), "employee_id")
+    changed = [F.col(f"_{c}").isNotNull() & (F.abs(F.col(c) - F.col(f"_{c}")) > 1e-9) for c in names]
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        sum((F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))) for c in names),
+            F.lit(0)).cast("bigint").alias("n_missing"),
+        sum((F.count_if(c) for c in changed), F.lit(0)).cast("bigint").alias("n_changed"))
+
+
+def q_pipeline_check(spark, d):
+    t = run_pipeline(emp(spark, d), EMP_COLUMNS, Settings(fit_forest=False))["turnover"]
+    p = F.col("turnover_percent")
+    return t.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("emp_identifier").alias("id_sum"),
+                 F.count_if(p.isNull() | (p < 0) | (p > 100)).alias("n_out_of_range"))
+
+
+def q_legacy_check(spark, d):
+    t = q_run_legacy(spark, d)
+    p = F.col("turnover_percent")
+    return t.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("emp_identifier").alias("id_sum"),
+                 F.count_if(p.isNull() | (p < 0) | (p > 100)).alias("n_out_of_range"))
+
+
+def q_split_label(spark, d):
+    features, label = C.split_target(emp(spark, d), "is_active")
+    return label
+
+
 def q_feature_importance(spark, d):
     return _cust_trained(spark, d, network=False)["importances"]
 
@@ -270,11 +372,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iterative_impute": q_iterative_impute,
     "standardize": q_standardize,
     "one_hot": q_one_hot,
+    "one_hot_wide": q_one_hot_wide,
     "one_hot_label": q_one_hot_label,
     "prepare_features": q_prepare_features,
     "split_target": q_split_target,
+    "split_label": q_split_label,
     "train_test_split": q_train_test_split,
     "smote_neighbors": q_smote_neighbors,
+    "smote_neighbors_wide": q_smote_neighbors_wide,
     "smote": q_smote,
     "smote_counts": q_smote_counts,
     "csv_roundtrip": q_csv_roundtrip,
@@ -285,6 +390,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_score": q_stream_score,
     "run_pipeline": q_run_pipeline,
     "run_legacy": q_run_legacy,
+    "balanced_counts": q_balanced_counts,
+    "turnover_check": q_turnover_check,
+    "importance_check": q_importance_check,
+    "accuracy_check": q_accuracy_check,
+    "impute_check": q_impute_check,
+    "stream_equals_batch": q_stream_equals_batch,
+    "pipeline_check": q_pipeline_check,
+    "legacy_check": q_legacy_check,
 }
 
 
@@ -413,6 +526,10 @@ ONE_HOT_SQL = WITH_CLEAN + "\nselect employee_id, " + ", ".join(
     _indicator(c, k, v) for c in EMP_CATEGORICAL for k, v in enumerate(_LEVELS[c])
 ) + " from cleaned"
 
+ONE_HOT_WIDE_SQL = WITH_CLEAN + "\n" + "\nunion all\n".join(
+    f"select employee_id, '{c}' as column_name, dense_rank() over (order by {c} nulls last) - 1 as code "
+    f"from cleaned" for c in EMP_STRINGS)
+
 ONE_HOT_LABEL_SQL = WITH_EMP + """
 select employee_id, is_active, cast(is_active = 'No' as double) as is_active_0,
   cast(is_active = 'Yes' as double) as is_active_1 from emp"""
@@ -441,6 +558,17 @@ NEIGHBORS_CTE = f"""nn as (
 SMOTE_NEIGHBORS_SQL = WITH_CUST + ", " + NEIGHBORS_CTE + """
 select employee_id, is_active, neighbor_id, round(sqrt(d2), 6) as distance from nn"""
 
+_WIDE_EXTRA = ", ".join(f"cast((employee_id * {2 * j + 3}) % {m} as double) as f{j}"
+                        for j, m in enumerate([3, 4, 5, 7, 40, 97, 1009, 2411]))
+_WIDE_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in WIDE_FEATURES)
+
+SMOTE_NEIGHBORS_WIDE_SQL = WITH_CUST + f""", w as (select *, {_WIDE_EXTRA} from ce)
+select employee_id, is_active, neighbor_id, round(sqrt(d2), 6) as distance from (
+  select a.employee_id, a.is_active, b.employee_id as neighbor_id, {_WIDE_D2} as d2,
+    row_number() over (partition by a.employee_id order by {_WIDE_D2}, b.employee_id) as rn
+  from w a join w b on a.is_active = b.is_active and a.employee_id <> b.employee_id)
+where rn = 1"""
+
 _U = ("cast(('0x' || substr(md5(cast(c.employee_id as varchar) || '|' || cast(c.copy_index as varchar)"
       " || '|42'), 1, 8))::bigint as double) / cast(4294967296 as double)")
 
@@ -514,15 +642,41 @@ select coalesce(max(n) <= 1, true) as is_unique from (
     "iterative_impute_round1": ITERATIVE_ROUND1_SQL,
     "standardize": STANDARDIZE_SQL,
     "one_hot": ONE_HOT_SQL,
+    "one_hot_wide": ONE_HOT_WIDE_SQL,
+    "smote_neighbors_wide": SMOTE_NEIGHBORS_WIDE_SQL,
+    "balanced_counts": """
+with c as (select case when c_custkey % 5 = 0 then 0 else 1 end as is_active, count(*) as n
+           from customer group by 1)
+select cast(is_active as bigint) as is_active, (select max(n) from c) as n from c""",
+    "turnover_check": """
+select count(*) as n_rows, count(distinct c_custkey) as n_ids, cast(sum(c_custkey) as bigint) as id_sum,
+  cast(0 as bigint) as n_out_of_range from customer""",
+    "importance_check": """
+select unnest(['age', 'employee_id', 'monthly_income', 'total_working_years', 'department']) as feature,
+  true as sums_to_100, true as none_negative""",
+    "accuracy_check": """
+select cast(ceil(0.2 * count(*)) as bigint) as n_rows, true as at_least_majority from customer""",
+    "stream_equals_batch": """
+select count(*) as n_rows, cast(0 as bigint) as n_different from orders""",
+    "impute_check": """
+select count(*) as n_rows, cast(0 as bigint) as n_missing, cast(0 as bigint) as n_changed from orders""",
+    "pipeline_check": """
+select count(*) as n_rows, cast(sum(o_orderkey) as bigint) as id_sum, cast(0 as bigint) as n_out_of_range
+from orders""",
+    "legacy_check": """
+select count(*) as n_rows, cast(sum(o_orderkey) as bigint) as id_sum, cast(0 as bigint) as n_out_of_range
+from orders""",
     "one_hot_label": ONE_HOT_LABEL_SQL,
     "prepare_features": PREPARE_FEATURES_SQL,
     "split_target": WITH_EMP + """
 select employee_id, position, department, age, gender, education, education_field,
   job_satisfaction, monthly_income, standard_hours, salary_scale, start_date from emp""",
+    "split_label": WITH_EMP + "\nselect is_active from emp",
     "train_test_split": TRAIN_TEST_SPLIT_SQL,
     "smote_neighbors": SMOTE_NEIGHBORS_SQL,
     "smote": SMOTE_SQL,
     "smote_counts": SMOTE_COUNTS_SQL,
-    "csv_roundtrip": WITH_CLEAN + "\nselect * from cleaned",
+    "csv_roundtrip": WITH_CLEAN + """
+select *, ' "' || coalesce(position, 'none') || '", 0 ' as note from cleaned""",
     "stream_clean": WITH_CLEAN + "\nselect * from cleaned",
 }
