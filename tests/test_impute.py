@@ -114,3 +114,53 @@ def test_bayesian_ridge_from_moments_matches_raw():
     Xc, yc = X - X.mean(0), y - y.mean()
     got = I.bayesian_ridge(Xc.T @ Xc, Xc.T @ yc, float(yc @ yc), 500.0)
     assert np.allclose(got, _bayes_reference(X, y), rtol=1e-8, atol=1e-10)
+
+
+def _plain_chain(x, rounds):
+    """Chained least squares on the raw rows."""
+    gone = np.isnan(x)
+    v = np.where(gone, np.nanmean(x, axis=0), x)
+    for _ in range(rounds):
+        for j in sorted(np.nonzero(gone.any(axis=0))[0], key=lambda j: (gone[:, j].sum(), j)):
+            rest = [a for a in range(x.shape[1]) if a != j]
+            fit = ~gone[:, j]
+            design = np.column_stack([np.ones(len(v)), v[:, rest]])
+            coef = np.linalg.lstsq(design[fit], v[fit, j], rcond=None)[0]
+            v[gone[:, j], j] = (design @ coef)[gone[:, j]]
+    return v
+
+
+@pytest.mark.parametrize("max_patterns", [20_000, 2])
+def test_pattern_moments_equal_regressions_on_rows(spark, monkeypatch, max_patterns):
+    monkeypatch.setattr(I, "MAX_PATTERNS", max_patterns)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(150, 4)) @ rng.normal(size=(4, 4)) * [1, 50, 3000, 2] + [5, 0, 9000, 1]
+    x[rng.random(x.shape) < [0.0, 0.1, 0.2, 0.3]] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double")
+    out, model = I.iterative_impute(df, exclude=["id"], estimator="ols", max_iter=4, tol=0.0, return_model=True)
+    got = np.array([tuple(r)[1:] for r in out.orderBy("id").collect()])
+    assert len(model.rounds) == 4
+    assert np.allclose(got, _plain_chain(x, 4), rtol=1e-7)
+    again = np.array([tuple(r)[1:] for r in model.transform(df).orderBy("id").collect()])
+    assert np.allclose(again, got)
+
+
+def test_long_models_build_a_short_plan(spark):
+    import time
+
+    names = [f"x{k}" for k in range(20)]
+    step = [(a, 0.01) for a in range(1, 20)]
+    model = I.ImputerModel(names, [1.0] * 20, [[(0, 0.5, step)] * 6] * 10)
+    df = spark.createDataFrame([tuple([None] + [2.0] * 19)], ", ".join(f"{n} double" for n in names))
+    start = time.time()
+    out = model.transform(df)
+    out._jdf.queryExecution().executedPlan()
+    assert time.time() - start < 3
+    assert out.first().x0 == pytest.approx(0.5 + 0.01 * 19)
+
+
+def test_rounds_stop_when_changes_are_small(spark):
+    df = spark.createDataFrame(_linear_rows(), "id int, x1 double, x2 double, y double")
+    _, model = I.iterative_impute(df, exclude=["id"], return_model=True)
+    assert len(model.rounds) == 2             # one column lacks cells: the second round changes nothing

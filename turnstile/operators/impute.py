@@ -4,28 +4,29 @@
   map-side partial aggregation (a hot group never lands whole in one task),
   one mode per group, joined back (broadcast only after a size check).
 * ``mean_impute`` — one aggregate, then a projection.
-* ``iterative_impute`` — chained equations.  Each column update is ONE Spark
-  aggregate of the moment sums (n, Σx, Σxxᵀ) over the rows where that column
-  is observed; the p x p ridge solve runs on the driver; the update is a
-  codegen'd linear projection.  Complete rows are summed once; only the
-  incomplete rows are revisited, and they are checkpointed into the shared
-  checkpoint folder every round so lineage stays short and lost executors
-  recompute at most one round.
+* ``iterative_impute`` — chained equations.  Rows that miss the same cells
+  share an affine map from their observed values to the imputed ones, so ONE
+  aggregate of moment sums (n, Σx, Σxxᵀ) per missing pattern is enough for
+  every regression of every round; the p x p solves run on the driver.  One
+  scan gives the change of each round, and the result is one matrix product
+  per row (Arrow batches).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Iterable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile import defaults as D
 from turnstile.functions.expressions import is_missing, name_lookup
-from turnstile.session import cut_lineage, fit_partitions, maybe_broadcast
+from turnstile.session import cut_lineage, maybe_broadcast
 
 
 # ---------------------------------------------------------------------------
@@ -119,8 +120,10 @@ def mean_impute(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _EPS = float(np.finfo(np.float64).eps)
-# Rows per partition for the repeated moment aggregates.
-MOMENT_ROWS_PER_PARTITION = 500_000
+# Different sets of missing cells whose moments the driver holds.
+MAX_PATTERNS = 20_000
+# A column update: the column, its intercept, (column, coefficient) of the rest.
+Step = tuple[int, float, list[tuple[int, float]]]
 
 
 def bayesian_ridge(G: np.ndarray, g: np.ndarray, yy: float, n: float,
@@ -166,16 +169,6 @@ def least_squares(G: np.ndarray, g: np.ndarray) -> np.ndarray:
     return np.linalg.lstsq(G, g, rcond=None)[0]
 
 
-def _moment_row(frame: DataFrame, z: list[Column]) -> tuple[float, np.ndarray, np.ndarray]:
-    """One aggregate: count, Σz, Σzzᵀ (upper triangle) → numpy."""
-    p = len(z)
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(z[a]).alias(f"_s{a}") for a in range(p)]
-    aggs += [F.sum(z[a] * z[b]).alias(f"_m{a}_{b}") for a in range(p) for b in range(a, p)]
-    row = frame.agg(*aggs).first()
-    return _unpack(row, p)
-
-
 def _unpack(row, p: int) -> tuple[float, np.ndarray, np.ndarray]:
     n = float(row["_n"] or 0)
     s = np.array([row[f"_s{a}"] or 0.0 for a in range(p)], dtype=float)
@@ -186,36 +179,81 @@ def _unpack(row, p: int) -> tuple[float, np.ndarray, np.ndarray]:
     return n, s, M
 
 
+def pattern_maps(pattern: np.ndarray, means: np.ndarray, rounds: list[list[Step]]) -> list[np.ndarray]:
+    """Imputation as affine maps.  ``pattern``: which columns a row misses.
+    Entry t turns the row's shifted values (x - mean, 0 where missing, and a 1)
+    into those after t rounds; entry 0 is the mean fill."""
+    p = len(pattern)
+    cur = np.hstack([np.diag((~pattern).astype(float)), np.zeros((p, 1))])
+    out = [cur]
+    for steps in rounds:
+        cur = cur.copy()
+        for j, icpt, coefs in steps:
+            if pattern[j]:
+                row = np.zeros(p + 1)
+                row[p] = icpt - means[j]
+                for a, b in coefs:
+                    row += b * cur[a]
+                cur[j] = row
+        out.append(cur)
+    return out
+
+
+def _by_pattern(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(pattern, row numbers) of the rows of ``x`` that miss the same cells."""
+    missing = np.isnan(x)
+    patterns, which = np.unique(missing, axis=0, return_inverse=True)
+    which = which.reshape(-1)
+    for k, pattern in enumerate(patterns):
+        yield pattern, np.nonzero(which == k)[0]
+
+
+def _matrix(column: pd.Series, p: int) -> np.ndarray:
+    return np.array([np.array(v, dtype=float) for v in column], dtype=float).reshape(len(column), p)
+
+
 @dataclass
 class ImputerModel:
-    """Fitted chained equations: observed means and, in order, every column
-    update ``x_j := icpt + Σ coef_a (x_a − mean_a)`` applied to the cells of
-    ``x_j`` that were missing.  Replaying the steps is a projection, so it also
-    imputes new batches or a stream exactly as the fit imputed its table."""
+    """Fitted chained equations: observed means and, round by round and in
+    order, every column update ``x_j := icpt + Σ coef_a (x_a − mean_a)`` applied
+    to the cells of ``x_j`` that were missing.  For rows that miss the same
+    cells all the updates together are one affine map, so replaying them is one
+    matrix product, on new batches and on a stream alike."""
     names: list[str]
     means: list[float]
-    steps: list[tuple[int, float, list[tuple[int, float]]]]
+    rounds: list[list[Step]]
 
     def transform(self, df: DataFrame) -> DataFrame:
         types = {f.name: f.dataType for f in df.schema.fields}
-        p = len(self.names)
-        cur = {}
-        miss = {}
-        for i, c in enumerate(self.names):
-            xc = _as_double(c, types[c])
-            miss[i] = xc.isNull()
-            cur[i] = F.coalesce(xc, F.lit(float(self.means[i])))
-        out = df.select("*", *[cur[i].alias(f"_v{i}") for i in range(p)],
-                        *[miss[i].alias(f"_miss{i}") for i in range(p)])
-        for j, icpt, coefs in self.steps:
-            pred = F.lit(float(icpt))
-            for a, b in coefs:
-                pred = pred + F.lit(float(b)) * (F.col(f"_v{a}") - F.lit(float(self.means[a])))
-            out = out.select(*[
-                F.when(F.col(f"_miss{j}"), pred).otherwise(F.col(f"_v{j}")).alias(f"_v{j}")
-                if c == f"_v{j}" else F.col(c) for c in out.columns])
-        return out.select(*[F.col(f"_v{self.names.index(c)}").alias(c) if c in self.names
-                            else F.col(c) for c in df.columns])
+        values = F.array(*[_as_double(c, types[c]) for c in self.names])
+        filled = df.select("*", self.fill(values).alias("_filled"))
+        place = {c: i for i, c in enumerate(self.names)}
+        return filled.select(*[F.col("_filled")[place[c]].alias(c) if c in place else F.col(c)
+                               for c in df.columns])
+
+    def fill(self, values: Column) -> Column:
+        """An array of the columns' values (null where missing), completed."""
+        means, rounds, p = np.array(self.means), self.rounds, len(self.names)
+        known: dict[bytes, np.ndarray] = {}
+
+        @F.pandas_udf("array<double>")
+        def run(column: pd.Series) -> pd.Series:
+            x = _matrix(column, p)
+            out = x.copy()
+            for pattern, rows in _by_pattern(x):
+                if not pattern.any():
+                    continue
+                key = pattern.tobytes()
+                if key not in known:
+                    if len(known) >= MAX_PATTERNS:
+                        known.clear()
+                    known[key] = pattern_maps(pattern, means, rounds)[-1]
+                z = np.where(pattern, 0.0, x[rows] - means)
+                full = z @ known[key][:, :p].T + known[key][:, p]
+                out[rows] = np.where(pattern, full + means, x[rows])
+            return pd.Series(list(out))
+
+        return run(values)
 
 
 def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
@@ -231,6 +269,11 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
     rounds or when the largest per-row total absolute change falls below
     ``tol · max|observed|``.  Output columns are double; other columns and
     the column order are kept.
+
+    The number of jobs doesn't depend on the rounds: rows that miss the same
+    cells share an affine map from their observed values, so one aggregate of
+    moments by missing pattern is all the regressions need, and one more scan
+    gives the change of every round.
     """
     if estimator not in ("bayes", "ols"):
         raise ValueError("estimator must be 'bayes' or 'ols'")
@@ -242,21 +285,35 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
     names = [c for c in names if c.lower() not in skip]
     p = len(names)
 
-    def done(frame, means=(), steps=()):
+    def done(frame, means=(), rounds=()):
         if return_model:
-            return frame, ImputerModel(names, [float(m) for m in means], list(steps))
+            return frame, ImputerModel(names, [float(m) for m in means], list(rounds))
         return frame
 
     if p == 0:
         return done(df)
 
+    # The values as one array beside the other columns, written once: the
+    # profile, the moments, the scan of changes and the result read it.
+    others = [c for c in df.columns if c not in set(names)]
+    base = df.select(*[F.col(c) for c in others],
+                     F.array(*[_as_double(c, types[c]) for c in names]).alias("_x"))
+    if checkpoint:
+        base = cut_lineage(base)
+    x = [F.col("_x")[i] for i in range(p)]
+
+    def columns(frame: DataFrame, values: Column) -> DataFrame:
+        place = {c: i for i, c in enumerate(names)}
+        wide = frame.select(*[F.col(c) for c in others], values.alias("_filled"))
+        return wide.select(*[F.col("_filled")[place[c]].alias(c) if c in place else F.col(c)
+                             for c in df.columns])
+
     # One aggregate: observed means, missing counts, max |observed|.
-    x = {c: _as_double(c, types[c]) for c in names}
-    prof = df.agg(
+    prof = base.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.avg(x[c]).alias(f"_mean{i}") for i, c in enumerate(names)],
-        *[F.count_if(x[c].isNull()).alias(f"_nmiss{i}") for i, c in enumerate(names)],
-        F.greatest(*[F.max(F.abs(x[c])) for c in names], F.lit(0.0)).alias("_absmax"),
+        *[F.avg(x[i]).alias(f"_mean{i}") for i in range(p)],
+        *[F.count_if(x[i].isNull()).alias(f"_nmiss{i}") for i in range(p)],
+        F.greatest(*[F.max(F.abs(v)) for v in x], F.lit(0.0)).alias("_absmax"),
     ).first()
     means = np.array([prof[f"_mean{i}"] if prof[f"_mean{i}"] is not None else np.nan
                       for i in range(p)])
@@ -266,43 +323,105 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
     nmiss = [prof[f"_nmiss{i}"] for i in range(p)]
     order = [i for i in sorted(range(p), key=lambda i: (nmiss[i], i)) if nmiss[i] > 0]
     if not order:
-        return done(df.select(*[x[c].alias(c) if c in x else F.col(c) for c in df.columns]),
-                    means)
-    threshold = tol * float(prof["_absmax"] or 0.0)
-
-    # Work columns: value (double, mean-filled) + missing flag, shifted by the
-    # observed mean when summing so Σzzᵀ does not cancel catastrophically.
-    vcol = [f"_v{i}" for i in range(p)]
-    mcol = [f"_miss{i}" for i in range(p)]
-    others = [c for c in df.columns if c not in set(names)]
-    base = df.select(
-        *[F.col(c) for c in others],
-        *[F.coalesce(x[c], F.lit(float(means[i]))).alias(vcol[i]) for i, c in enumerate(names)],
-        *[x[c].isNull().alias(mcol[i]) for i, c in enumerate(names)],
-    )
-    # Moment sums are light per row: big partitions, few tasks per job.
-    base = fit_partitions(base, int(prof["_rows"] or 0), MOMENT_ROWS_PER_PARTITION)
-    any_missing = F.lit(False)
-    for i in order:
-        any_missing = any_missing | F.col(mcol[i])
-    if checkpoint:
-        # One reliable write of the prepared table: the complete-row sums, the
-        # incomplete rows and the final output all read it instead of
-        # recomputing the upstream plan three times.
-        base = cut_lineage(base)
-    complete = base.where(~any_missing)
-    work = base.where(any_missing)
-
-    z = [F.col(vcol[i]) - F.lit(float(means[i])) for i in range(p)]
-    n_c, s_c, M_c = _moment_row(complete, z)
-    steps: list[tuple[int, float, list[tuple[int, float]]]] = []
+        return done(columns(base, F.col("_x")), means)
 
-    for _round in range(max_iter):
-        prev = [F.col(vcol[i]).alias(f"_prev{i}") for i in order]
-        work = work.select("*", *prev)
+    moments = _pattern_moments(base, x, means)
+    rounds = _fit_rounds(moments, means, order, max_iter, estimator)
+    threshold = tol * float(prof["_absmax"] or 0.0)
+    for t, change in enumerate(_changes(base, means, rounds)):
+        if change < threshold:
+            rounds = rounds[:t + 1]
+            break
+    model = ImputerModel(names, [float(m) for m in means], rounds)
+    return done(columns(base, model.fill(F.col("_x"))), means, rounds)
+
+
+def _pattern_moments(base: DataFrame, x: list[Column], means: np.ndarray):
+    """Σz, Σzzᵀ and the count per missing pattern, z the values shifted by the
+    observed means (so that the products don't cancel), 0 where missing."""
+    p = len(x)
+    z = [F.coalesce(v - F.lit(float(m)), F.lit(0.0)) for v, m in zip(x, means)]
+    pattern = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in x])
+    rows = cut_lineage(base.groupBy(pattern.alias("_pattern")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(z[a]).alias(f"_s{a}") for a in range(p)],
+        *[F.sum(z[a] * z[b]).alias(f"_m{a}_{b}") for a in range(p) for b in range(a, p)]))
+    few = rows.limit(MAX_PATTERNS + 1).count() <= MAX_PATTERNS
+    return LocalMoments(rows.collect(), means) if few else SparkMoments(rows, means)
+
+
+def _parsed(rows, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns, and their moments with a row and column for the constant 1."""
+    missing = np.array([[c == "1" for c in r["_pattern"]] for r in rows], bool).reshape(len(rows), p)
+    seen = np.zeros((len(rows), p + 1, p + 1))
+    for k, r in enumerate(rows):
+        n, s, m = _unpack(r, p)
+        seen[k, :p, :p], seen[k, :p, p], seen[k, p, :p], seen[k, p, p] = m, s, s, n
+    return missing, seen
+
+
+class LocalMoments:
+    """Moments of the completed rows, pattern by pattern, on the driver."""
+
+    def __init__(self, rows: list, means: np.ndarray):
+        p = len(means)
+        self.missing, self.seen = _parsed(rows, p)
+        self.maps = np.array([pattern_maps(m, means, [])[0] for m in self.missing]).reshape(-1, p, p + 1)
+        self.full, self.total = self.seen[:, :p, :p].copy(), self.seen[:, :p, p].copy()
+
+    def where_observed(self, j: int, _: list) -> tuple[float, np.ndarray, np.ndarray]:
+        has = ~self.missing[:, j]
+        return self.seen[has, -1, -1].sum(), self.total[has].sum(axis=0), self.full[has].sum(axis=0)
+
+    def update(self, j: int, shift: float, coef: np.ndarray, rest: list[int]) -> None:
+        """Column j becomes ``shift + coef · rest``: only its row and column of
+        the completed moments change."""
+        lacks = self.missing[:, j]
+        row = np.einsum("a,kab->kb", coef, self.maps[lacks][:, rest])
+        row[:, -1] += shift
+        self.maps[lacks, j] = row
+        cross = np.einsum("kb,kbc->kc", row, self.seen[lacks])
+        products = np.einsum("kc,kac->ka", cross, self.maps[lacks])
+        self.full[lacks, j, :] = products
+        self.full[lacks, :, j] = products
+        self.total[lacks, j] = cross[:, -1]
+
+
+class SparkMoments:
+    """The same for any number of patterns: their table stays distributed, and
+    every column update is one job over it."""
+
+    def __init__(self, rows: DataFrame, means: np.ndarray):
+        self.rows, self.means = rows, means
+
+    def where_observed(self, j: int, rounds: list) -> tuple[float, np.ndarray, np.ndarray]:
+        means, p = self.means, len(self.means)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sums = np.zeros((p + 1, p + 1))
+            for batch in batches:
+                for pattern, seen in zip(*_parsed(batch.to_dict("records"), p)):
+                    if not pattern[j]:
+                        full = np.vstack([pattern_maps(pattern, means, rounds)[-1], np.eye(p + 1)[p]])
+                        sums += full @ seen @ full.T
+            yield pd.DataFrame({"sums": [sums.ravel()]})
+
+        got = self.rows.mapInPandas(run, "sums array<double>").collect()      # one row per task
+        sums = np.sum([r["sums"] for r in got], axis=0).reshape(p + 1, p + 1)
+        return sums[p, p], sums[:p, p], sums[:p, :p]
+
+    def update(self, j: int, shift: float, coef: np.ndarray, rest: list[int]) -> None:
+        pass
+
+
+def _fit_rounds(moments, means: np.ndarray, order: list[int], max_iter: int,
+                estimator: str) -> list[list[Step]]:
+    """The regressions of all rounds, from the moments alone."""
+    p = len(means)
+    rounds: list[list[Step]] = []
+    for _ in range(max_iter):
+        rounds.append([])
         for j in order:
-            n_i, s_i, M_i = _moment_row(work.where(~F.col(mcol[j])), z)
-            n, s, M = n_c + n_i, s_c + s_i, M_c + M_i
+            n, s, M = moments.where_observed(j, rounds)
             mu = s / n if n > 0 else np.zeros(p)
             C = M - n * np.outer(mu, mu)
             rest = [a for a in range(p) if a != j]
@@ -310,24 +429,35 @@ def iterative_impute(df: DataFrame, cols: Iterable[str] | None = None,
             coef = (bayesian_ridge(G, g, yy, n, tol=1e-3) if estimator == "bayes"
                     else least_squares(G, g))
             icpt = mu[j] - float(coef @ mu[rest])
-            pred = F.lit(float(icpt + means[j]))
-            for a, b in zip(rest, coef):
-                pred = pred + F.lit(float(b)) * z[a]
-            steps.append((j, float(icpt + means[j]), [(a, float(b)) for a, b in zip(rest, coef)]))
-            work = work.select(*[
-                F.when(F.col(mcol[j]), pred).otherwise(F.col(vcol[j])).alias(vcol[j])
-                if c == vcol[j] else F.col(c) for c in work.columns])
-        if checkpoint:
-            work = cut_lineage(work)
-        change = None
-        for i in order:
-            d = F.abs(F.col(vcol[i]) - F.col(f"_prev{i}"))
-            change = d if change is None else change + d
-        delta = work.agg(F.max(change).alias("d")).first()["d"] or 0.0
-        work = work.drop(*[f"_prev{i}" for i in order])
-        if delta < threshold:
-            break
-
-    out = complete.unionByName(work)
-    return done(out.select(*[F.col(vcol[names.index(c)]).alias(c) if c in names else F.col(c)
-                             for c in df.columns]), means, steps)
+            rounds[-1].append((j, float(icpt + means[j]), [(a, float(b)) for a, b in zip(rest, coef)]))
+            moments.update(j, icpt, coef, rest)
+    return rounds
+
+
+def _changes(base: DataFrame, means: np.ndarray, rounds: list[list[Step]]) -> list[float]:
+    """Per round the largest total absolute change of a row, in one scan."""
+    p = len(means)
+    if not rounds:
+        return []
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, list[np.ndarray]] = {}
+        most = np.zeros(len(rounds))
+        for batch in batches:
+            x = _matrix(batch["_x"], p)
+            for pattern, rows in _by_pattern(x):
+                if not pattern.any():
+                    continue
+                key = pattern.tobytes()
+                if key not in known:
+                    known[key] = pattern_maps(pattern, means, rounds)
+                z = np.hstack([np.where(pattern, 0.0, x[rows] - means), np.ones((len(rows), 1))])
+                maps = known[key]
+                for t in range(len(rounds)):
+                    change = np.abs(z @ (maps[t + 1] - maps[t])[pattern].T).sum(axis=1).max()
+                    most[t] = max(most[t], change)
+        yield pd.DataFrame({"round": np.arange(len(rounds)), "change": most})
+
+    found = base.select("_x").mapInPandas(run, "round int, change double").groupBy("round").agg(
+        F.max("change").alias("change")).collect()
+    return [c for _, c in sorted((r["round"], r["change"]) for r in found)]

@@ -145,6 +145,16 @@ def q_iterative_impute_round1(spark, d):
     return _r(out, ["age", "monthly_income"], 2)
 
 
+OLS_COLUMNS = ["age", "education", "monthly_income"]
+OLS_ROUNDS = 10
+
+
+def q_iterative_impute_ols(spark, d):
+    base = _cleaned(spark, d).select("employee_id", *OLS_COLUMNS)
+    out = I.iterative_impute(base, OLS_COLUMNS, estimator="ols", max_iter=OLS_ROUNDS, tol=0.0)
+    return _r(out, OLS_COLUMNS, 2)
+
+
 def q_iterative_impute(spark, d):
     enc, _ = E.label_encode(_cleaned(spark, d).drop("salary_scale", "standard_hours"))
     return I.iterative_impute(enc, exclude=["employee_id"])
@@ -369,6 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_impute": q_mean_impute,
     "missing_after_impute": q_missing_after_impute,
     "iterative_impute_round1": q_iterative_impute_round1,
+    "iterative_impute_ols": q_iterative_impute_ols,
     "iterative_impute": q_iterative_impute,
     "standardize": q_standardize,
     "one_hot": q_one_hot,
@@ -501,6 +512,34 @@ select employee_id, round(age, 2) as age,
   round(coalesce(monthly_income, fit.a + fit.b * age), 2) as monthly_income
 from cleaned, fit"""
 
+
+
+def _ols_step(source: str, y: str, a: str, b: str) -> str:
+    """Least squares of y on a and b over the rows where y was observed; the
+    missing cells of y are replaced."""
+    det = "(caa * cbb - cab * cab)"
+    return f"""(with m as (
+    select avg({y}) as my, avg({a}) as ma, avg({b}) as mb, var_pop({a}) as caa, var_pop({b}) as cbb,
+      covar_pop({a}, {b}) as cab, covar_pop({a}, {y}) as cay, covar_pop({b}, {y}) as cby
+    from {source} where not {y}_gone)
+  select s.* replace (case when {y}_gone
+    then my + (cay * cbb - cby * cab) / {det} * ({a} - ma) + (cby * caa - cay * cab) / {det} * ({b} - mb)
+    else {y} end as {y}) from {source} s, m)"""
+
+
+def _ols_chain() -> str:
+    steps = [f"""v0 as materialized (select employee_id, {", ".join(
+        f"coalesce(cast({c} as double), avg({c}) over ()) as {c}, {c} is null as {c}_gone"
+        for c in OLS_COLUMNS)} from cleaned)"""]
+    for k in range(2 * OLS_ROUNDS):        # education lacks fewer cells than the income
+        y, b = ("education", "monthly_income") if k % 2 == 0 else ("monthly_income", "education")
+        steps.append(f"v{k + 1} as materialized {_ols_step(f'v{k}', y, 'age', b)}")
+    return ", " + ",\n".join(steps) + "\nselect employee_id, " + ", ".join(
+        f"round({c}, 2) as {c}" for c in OLS_COLUMNS) + f" from v{2 * OLS_ROUNDS}"
+
+
+ITERATIVE_OLS_SQL = WITH_CLEAN + _ols_chain()
+
 STANDARDIZE_SQL = WITH_CLEAN + """
 select employee_id,
   round((age - avg(age) over ()) / stddev_pop(age) over (), 6) as age,
@@ -640,6 +679,7 @@ select coalesce(max(n) <= 1, true) as is_unique from (
     "mean_impute": MEAN_IMPUTE_SQL,
     "missing_after_impute": MISSING_AFTER_IMPUTE_SQL,
     "iterative_impute_round1": ITERATIVE_ROUND1_SQL,
+    "iterative_impute_ols": ITERATIVE_OLS_SQL,
     "standardize": STANDARDIZE_SQL,
     "one_hot": ONE_HOT_SQL,
     "one_hot_wide": ONE_HOT_WIDE_SQL,
