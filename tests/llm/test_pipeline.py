@@ -1,0 +1,100 @@
+"""The whole pipeline against a brute-force version, stage by stage."""
+
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import pytest
+from llm.test_duplicates import plain_drops, plain_groups
+from llm.test_text_operators import plain_contained, plain_measures
+
+from turnstile.llm.common import table
+from turnstile.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def plain_quality(rows):
+    # No host of the small tables fails often enough to be rejected.
+    out = []
+    for r in rows:
+        m = plain_measures(r["text"])
+        if m[0] >= MIN_WORDS and 100 * m[4] <= MAX_REPEAT_PERCENT * m[0]:
+            out.append(r)
+    return out
+
+
+def plain_lines(rows):
+    drops, out = plain_drops([(r["doc_id"], r["text"]) for r in rows]), []
+    for r in rows:
+        n, gone = drops.get((r["doc_id"], r["text"]), (0, []))
+        if gone and len(gone) == n:
+            continue
+        if gone:
+            text = "\n".join(x for k, x in enumerate(r["text"].split("\n")) if k not in gone)
+            r = r | {"text": text, "n_chars": len(text)}
+        out.append(r)
+    return out
+
+
+def plain_simhash(rows):
+    groups = plain_groups([(r["doc_id"], r["text"]) for r in rows], k=5)
+    return [r for r, (i, _, least) in zip(rows, groups) if i == least]
+
+
+def plain_clean(rows, items):
+    bad = {w[0] for w in plain_contained([(r["doc_id"], r["text"]) for r in rows], items)}
+    return [r for r in rows if r["doc_id"] not in bad]
+
+
+def same(frame, rows):
+    assert frame.columns == COLUMNS
+    got = Counter(tuple(r) for r in frame.collect())
+    assert got == Counter(tuple(r[c] for c in COLUMNS) for r in rows)
+
+
+@pytest.fixture(scope="module")
+def stages():
+    return dict(corpus_pipeline.STAGES)
+
+
+def test_order_of_stages():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "line_dedup", "simhash", "decontaminate", "packing"]
+
+
+def test_stages_equal_brute_force(spark, stages):
+    d = "/root/testdata/sf0.001"
+    docs = table(spark, d, "documents")
+    rows = [r.asDict() for r in docs.collect()]
+    items = [tuple(r) for r in table(spark, d, "benchmark").select("item_id", "text").collect()]
+    plain = {"quality_rules": plain_quality, "line_dedup": plain_lines, "simhash": plain_simhash,
+             "decontaminate": lambda x: plain_clean(x, items)}
+    for name, version in plain.items():
+        before = len(rows)
+        got, rows = stages[name](spark, docs, d), version(rows)
+        same(got, rows)
+        assert 0 < len(rows) <= before
+        docs = spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows], got.schema)
+    # Every remaining document is packed whole, and the whole run packs the same.
+    pieces = stages["packing"](spark, docs, d).collect()
+    size = defaultdict(int)
+    for p in pieces:
+        size[p.doc_id] += p.length
+        assert p.offset + p.length <= 2048
+    assert set(size) == {r["doc_id"] for r in rows}
+    run = corpus_pipeline.run(spark, d).collect()
+    key = lambda p: (p.doc_id, p.doc_tokens)
+    assert {key(p) for p in run} == {key(p) for p in pieces}
+
+
+def test_stages_take_odd_rows(spark, stages, odd_rows):
+    d = "/root/testdata/sf0.001"
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    odd = spark.createDataFrame([(i, t, None, s, 5) for i, t, s in odd_rows], schema)
+    for docs in (odd, odd.where("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, d)
+            if name != "packing":
+                assert out.columns == COLUMNS
+            rows = out.collect()
+            assert len(rows) <= len(odd_rows) or name == "packing"

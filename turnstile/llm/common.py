@@ -33,7 +33,7 @@ def written(df: DataFrame, kind: str = "table") -> DataFrame:
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, weight: str,
-           how: str = "left") -> DataFrame:
+           how: str = "left", total: int | None = None) -> DataFrame:
     """Join ``left`` with ``right``, which has one row per ``key`` and says in
     ``weight`` how many rows of ``left`` have that key.
 
@@ -41,8 +41,10 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str,
     are joined by broadcast and never meet in one task; the others go through a
     shuffle in which no key is large.  ``left`` is read twice, so it should be
     cheap to read.  Rows with a null key are kept by ``how="left"``, spread out.
+    ``total`` saves a job if the number of rows, or a bound of it, is known.
     """
-    total = right.agg(F.sum(weight)).first()[0] or 0
+    if total is None:
+        total = right.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) * F.lit(HOT_PARTS) >= F.lit(total)
     values = [c for c in right.columns if c != weight]
     hot, cold = right.where(is_hot).select(values), right.where(~is_hot).select(values)

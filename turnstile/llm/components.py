@@ -15,35 +15,35 @@ from pyspark.sql import functions as F
 from turnstile.llm.common import lookup, written
 
 
-def _star(edges: DataFrame) -> DataFrame:
+def _star(edges: DataFrame, most: int) -> DataFrame:
     """(u, v, m): every edge of ``edges`` with the least vertex among u and its
-    neighbours v.  A vertex with a large share of all edges is looked up by
-    broadcast, so its edges stay spread out."""
+    neighbours v.  A vertex with a large share of all edges, at most ``most``,
+    is looked up by broadcast, so its edges stay spread out."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    return lookup(edges, least, "u", "n", how="inner").select(
+    return lookup(edges, least, "u", "n", how="inner", total=most).select(
         "u", "v", F.least("u", "m").alias("m"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, most: int) -> DataFrame:
     both = edges.union(edges.select("v", "u")).toDF("u", "v")
-    return (_star(both).where(F.col("v") > F.col("u"))
+    return (_star(both, 2 * most).where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where(F.col("u") != F.col("v")).distinct())
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, most: int) -> DataFrame:
     # Every edge points from the larger to the smaller vertex.
-    least = _star(edges)
+    least = _star(edges, most)
     out = least.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
         least.select("u", F.col("m").alias("v")))
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    """A fingerprint of the edge set: count and two order-free sums."""
-    h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 20)),
-                           F.bit_xor(h)).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no one's smaller end."""
+    twice = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    both = edges.select("u").join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+    return both.isEmpty() and twice.isEmpty()
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -56,13 +56,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
              .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .where(F.col("u") != F.col("v")).distinct())
     edges = written(edges, "edges")
-    before = _state(edges)
-    while before[0]:
-        edges = written(_small_star(written(_large_star(edges), "edges")), "edges")
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
+    while not _is_stars(edges):
+        n = edges.count()  # neither step makes more edges than it takes
+        edges = written(_small_star(written(_large_star(edges, n), "edges"), n), "edges")
     # Every component is now a star around its smallest vertex.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select("v", "v").distinct())
