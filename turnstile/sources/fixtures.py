@@ -27,8 +27,10 @@ def emp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def emp_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same view over a file stream of the orders table."""
+    # As a pattern the path may be a single file as well as a folder of part
+    # files; a plain path must be a folder.
     o = (spark.readStream.schema(ORDERS_SCHEMA).format("parquet")
-         .load(f"{sf_dir.rstrip('/')}/orders.parquet"))
+         .load(f"{sf_dir.rstrip('/')}/orders.parque[t]"))
     return emp_from_orders(o)
 
 
