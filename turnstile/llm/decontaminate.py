@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from turnstile.llm.common import require, written
+from turnstile.session import maybe_broadcast
 
 SHINGLE = 5
 CONTAINED = 0.8
@@ -45,8 +46,6 @@ MASKS = np.array([_RANDOM.getrandbits(64) for _ in range(HASHES)], np.uint64)
 MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, so that multiplying is a permutation
 SLOT_BITS = 22
 SLICE_ROWS = 500
-# Pairs of a document and an item that are broadcast; they have a fixed width.
-BROADCAST_ROWS = 500_000
 
 _WORDS: dict[bytes, int] = {}
 _WORDS_MAX = 500_000
@@ -182,11 +181,6 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
     return hits.join(keys, "key").select("doc_id", "text_hash", "item_key").distinct()
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast ``df``, a written table of narrow rows, if it is proven small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED) -> DataFrame:
     """(doc_id, text_hash, item_id, n_shingles, n_found): the verified pairs."""
     require(docs, ["doc_id", "text"])
@@ -200,7 +194,7 @@ def contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED
     wanted = written(wanted, "wanted")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.xxhash64("text").alias("text_hash"), "text")
-    found = rows.join(_small(wanted), F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = rows.join(maybe_broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("_id"))
                       & (F.col("text_hash") == F.col("_hash"))).select(
                           "doc_id", "text_hash", "text", "items")
     per_mille = round(contained * 1000)
@@ -236,6 +230,6 @@ def keep_clean(docs: DataFrame, items: DataFrame, contained: float = CONTAINED)
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "bad")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
                        F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_hash"))
-    kept = rows.join(_small(bad), F.col("_id").eqNullSafe(F.col("_bad_id"))
+    kept = rows.join(maybe_broadcast(bad), F.col("_id").eqNullSafe(F.col("_bad_id"))
                      & (F.col("_hash") == F.col("_bad_hash")), "left_anti")
     return kept.select("_doc.*")
