@@ -14,7 +14,6 @@ import gc
 import os
 import re
 from array import array
-from itertools import chain
 
 # Unicode white space; Latin letters that keep one code point in
 # NFC and lower case; ASCII punctuation without the apostrophe (contractions).
