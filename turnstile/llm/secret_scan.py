@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import binascii
 import re
+import string
 import zlib
 from collections import deque
 
@@ -39,9 +40,12 @@ ASSIGN_VALUE_MIN = 8
 # Each word of ASSIGN has one of these in it.
 ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
 
+# All that secrets, escapes and encoded runs consist of.  No match crosses
+# another character, so escapes are decoded in place in maximal runs of these.
+RUN_CHARS = string.ascii_letters + string.digits + "+/_.=:\"'%\\{}- \t\r\n"
+RUN = re.compile(f"[{re.escape(RUN_CHARS)}]+")
 URL_RUN = re.compile(r"[A-Za-z0-9._~+/=:&?-]*(?:%[0-9A-Fa-f]{2}[A-Za-z0-9._~+/=:&?-]*)+")
 URL_BYTE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 GZIP, ZLIB = b"\x1f\x8b", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
@@ -107,8 +111,7 @@ class Layer:
     def origin(self, start: int, end: int) -> tuple[int, int]:
         if self.spans is None:
             return start, end
-        part = self.spans[start:end]
-        return min(a for a, _ in part), max(b for _, b in part)
+        return self.spans[start][0], self.spans[end - 1][1]  # they are in order
 
 
 def _url_layer(layer: Layer, m: re.Match) -> Layer | None:
@@ -137,13 +140,20 @@ def _url_layer(layer: Layer, m: re.Match) -> Layer | None:
 
 
 def _unicode_layer(layer: Layer, m: re.Match) -> Layer | None:
-    text, spans = [], []
-    for e in UNICODE_ONE.finditer(m[0]):
+    """The run with its escapes decoded; all else keeps its place."""
+    text, spans, at = [], [], m.start()
+    for e in UNICODE_ONE.finditer(layer.text, m.start(), m.end()):
         code = int(e[1] or e[2] or e[3], 16)
         if code > 0x10FFFF:
-            return None
-        text.append(chr(code))
-        spans.append(layer.origin(m.start() + e.start(), m.start() + e.end()))
+            continue
+        text += layer.text[at:e.start()], chr(code)
+        spans += [layer.origin(i, i + 1) for i in range(at, e.start())]
+        spans.append(layer.origin(*e.span()))
+        at = e.end()
+    if not text:
+        return None
+    text.append(layer.text[at:m.end()])
+    spans += [layer.origin(i, i + 1) for i in range(at, m.end())]
     return Layer("".join(text), spans)
 
 
@@ -172,8 +182,9 @@ def scan(text: str | None) -> tuple[list, list, int]:
             for m in URL_RUN.finditer(layer.text):
                 add(_url_layer(layer, m))
         if "\\" in layer.text:
-            for m in UNICODE_RUN.finditer(layer.text):
-                add(_unicode_layer(layer, m))
+            for m in RUN.finditer(layer.text):
+                if "\\" in m[0]:
+                    add(_unicode_layer(layer, m))
         for m in BASE64_RUN.finditer(layer.text):
             data = _unbase64(m[0])
             if not data:
