@@ -28,3 +28,15 @@ def test_partly_unicode_escaped(hidden):
 def test_unicode_and_url_escapes_together():
     hidden = f"password{U}003dhunter2%41bc"
     assert hidden in found(hidden)
+
+
+@pytest.mark.parametrize("text, hidden", [
+    ("x=%FF&password%3Dhunter2hunter2", "password%3Dhunter2hunter2"),
+    ("caf%E9+password%3Dhunter2hunter2", "password%3Dhunter2hunter2"),
+    ("%E9%70assword%3Dhunter2hunter2%E9", "%70assword%3Dhunter2hunter2"),
+    ("password%3D'hunter2hunter2'", "password%3D'hunter2hunter2"),
+    ('"password"%3A "hunter2hunter2"', 'password"%3A "hunter2hunter2'),
+    ("password = %22hunter2hunter2%22", "password = %22hunter2hunter2"),
+])
+def test_partly_url_escaped(text, hidden):
+    assert hidden in found(text)

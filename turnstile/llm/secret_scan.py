@@ -22,6 +22,7 @@ import re
 import string
 import zlib
 from collections import deque
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,7 +45,6 @@ ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
 # another character, so escapes are decoded in place in maximal runs of these.
 RUN_CHARS = string.ascii_letters + string.digits + "+/_.=:\"'%\\{}- \t\r\n"
 RUN = re.compile(f"[{re.escape(RUN_CHARS)}]+")
-URL_RUN = re.compile(r"[A-Za-z0-9._~+/=:&?-]*(?:%[0-9A-Fa-f]{2}[A-Za-z0-9._~+/=:&?-]*)+")
 URL_BYTE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -114,47 +114,42 @@ class Layer:
         return self.spans[start][0], self.spans[end - 1][1]  # they are in order
 
 
-def _url_layer(layer: Layer, m: re.Match) -> Layer | None:
-    """The run with its escapes decoded; plain characters keep their place."""
-    text, spans, at = [], [], m.start()
-    for e in URL_BYTE.finditer(m[0]):
-        a, b = m.start() + e.start(), m.start() + e.end()
-        for i in range(at, a):
-            text.append(layer.text[i])
-            spans.append(layer.origin(i, i + 1))
-        try:
-            part = bytes.fromhex(e[0].replace("%", "")).decode("utf-8")
-        except UnicodeDecodeError:
-            return None
-        place = a
-        for c in part:
-            n = 3 * len(c.encode("utf-8"))
-            text.append(c)
-            spans.append(layer.origin(place, place + n))
-            place += n
+def _in_place(layer: Layer, start: int, end: int,
+              escapes: Iterator[tuple[int, int, str]]) -> Layer | None:
+    """The run with its ``escapes`` (start, end, decoded) replaced; all else
+    keeps its place.  None if there are none."""
+    text, spans, at = [], [], start
+    for a, b, c in escapes:
+        text += layer.text[at:a], c
+        spans += [layer.origin(i, i + 1) for i in range(at, a)]
+        spans.append(layer.origin(a, b))
         at = b
-    for i in range(at, m.end()):
-        text.append(layer.text[i])
-        spans.append(layer.origin(i, i + 1))
+    if not text:
+        return None
+    text.append(layer.text[at:end])
+    spans += [layer.origin(i, i + 1) for i in range(at, end)]
     return Layer("".join(text), spans)
 
 
-def _unicode_layer(layer: Layer, m: re.Match) -> Layer | None:
-    """The run with its escapes decoded; all else keeps its place."""
-    text, spans, at = [], [], m.start()
-    for e in UNICODE_ONE.finditer(layer.text, m.start(), m.end()):
+def _url_escapes(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """Bytes that aren't UTF-8 become replacement characters."""
+    for e in URL_BYTE.finditer(text, start, end):
+        place = e.start()
+        for c in bytes.fromhex(e[0].replace("%", "")).decode("utf-8", "surrogateescape"):
+            lost = "\udc80" <= c <= "\udcff"
+            after = place + (3 if lost else 3 * len(c.encode("utf-8")))
+            yield place, after, "\ufffd" if lost else c
+            place = after
+
+
+def _unicode_escapes(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    for e in UNICODE_ONE.finditer(text, start, end):
         code = int(e[1] or e[2] or e[3], 16)
-        if code > 0x10FFFF:
-            continue
-        text += layer.text[at:e.start()], chr(code)
-        spans += [layer.origin(i, i + 1) for i in range(at, e.start())]
-        spans.append(layer.origin(*e.span()))
-        at = e.end()
-    if not text:
-        return None
-    text.append(layer.text[at:m.end()])
-    spans += [layer.origin(i, i + 1) for i in range(at, m.end())]
-    return Layer("".join(text), spans)
+        if code <= 0x10FFFF:  # others stay as they stand
+            yield e.start(), e.end(), chr(code)
+
+
+ESCAPES = (("%", _url_escapes), ("\\", _unicode_escapes))
 
 
 def scan(text: str | None) -> tuple[list, list, int]:
@@ -178,13 +173,11 @@ def scan(text: str | None) -> tuple[list, list, int]:
 
     while work:
         layer = work.popleft()
-        if "%" in layer.text:
-            for m in URL_RUN.finditer(layer.text):
-                add(_url_layer(layer, m))
-        if "\\" in layer.text:
-            for m in RUN.finditer(layer.text):
-                if "\\" in m[0]:
-                    add(_unicode_layer(layer, m))
+        for sign, escapes in ESCAPES:
+            if sign in layer.text:
+                for m in RUN.finditer(layer.text):
+                    if sign in m[0]:
+                        add(_in_place(layer, *m.span(), escapes(layer.text, *m.span())))
         for m in BASE64_RUN.finditer(layer.text):
             data = _unbase64(m[0])
             if not data:
