@@ -1,5 +1,9 @@
 """Secrets that are only partly, or unusually, encoded."""
 
+import base64
+import gzip
+import zlib
+
 import pytest
 
 from turnstile.llm import secret_scan
@@ -40,3 +44,62 @@ def test_unicode_and_url_escapes_together():
 ])
 def test_partly_url_escaped(text, hidden):
     assert hidden in found(text)
+
+
+SECRET = "password=hunter2hunter2"
+
+
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+def wrap(run, width, end="\n"):
+    return end.join(run[i:i + width] for i in range(0, len(run), width))
+
+
+def whole(text, run):
+    """Whether a secret is reported at the span of the run."""
+    a = text.index(run)
+    return (a, a + len(run), 0) in secret_scan.scan(text)[1]
+
+
+@pytest.mark.parametrize("odd", ["\xa0", "\u3000", "\u200d", "\xad", "\ufeff", "\f", "\0"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_layers_with_unprintable_characters(odd, pack):
+    run = b64(pack(f"é{odd} {SECRET} {odd}".encode()))
+    assert whole(f"a {run} b", run)
+
+
+@pytest.mark.parametrize("codec", ["utf-16", "utf-16-le", "utf-16-be", "latin-1"])
+def test_layers_in_other_encodings(codec):
+    run = b64(f"é {SECRET} é".encode(codec))
+    assert whole(f"a {run} b", run)
+
+
+NOISE = " ".join(f"{i * 7919 % 1000003}," for i in range(300))
+
+
+@pytest.mark.parametrize("width", [19, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+@pytest.mark.parametrize("before, after", [
+    ("", ""), ("key: ", "\n"), ("-----BEGIN-----\n", "\n-----END-----\n"), ("a\nlonglonglonglongword\n", "\nword\nend")])
+def test_wrapped_base64(width, end, pack, before, after):
+    run = wrap(b64(pack(f"{NOISE} {SECRET} {NOISE}".encode())), width, end)
+    spans = secret_scan.scan(before + run + after)[1]
+    assert any(k == 0 and a <= len(before) and b >= len(before) + len(run) for a, b, k in spans)
+
+
+def test_secret_across_a_line_end():
+    run = wrap(b64(f"{'x' * 50} {SECRET}".encode()), 76)
+    assert whole(f"é\n{run}\n", run)
+
+
+@pytest.mark.parametrize("data", [
+    gzip.compress(b"one") + gzip.compress(SECRET.encode()),
+    gzip.compress(b"one") + b"\0" * 9 + gzip.compress(SECRET.encode()) + b"\0\0",
+    gzip.compress(f"{SECRET} {NOISE}".encode())[:-20],
+])
+def test_members_and_cut_gzip(data):
+    run = b64(data)
+    assert whole(f"a {run} b", run)

@@ -17,7 +17,6 @@ can be looked at, and ``spans`` still has all that the other layers show.
 from __future__ import annotations
 
 import base64
-import binascii
 import re
 import string
 import zlib
@@ -47,9 +46,13 @@ RUN_CHARS = string.ascii_letters + string.digits + "+/_.=:\"'%\\{}- \t\r\n"
 RUN = re.compile(f"[{re.escape(RUN_CHARS)}]+")
 URL_BYTE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
-BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+BASE64_MIN = 16
+BASE64_RUN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{BASE64_MIN},}}={{0,2}}")
+BASE64_MORE = re.compile(r"(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 GZIP, ZLIB = b"\x1f\x8b", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
 INFLATE_MAX = 16 << 20
+CHUNK = 1 << 16
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
@@ -67,38 +70,64 @@ def find(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _plain(data: bytes) -> str | None:
-    """``data`` as text, if it is text."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _texts(data: bytes) -> list[str]:
+    """All texts that ``data`` may be.  What isn't text in them hides nothing:
+    it becomes replacement characters.  ASCII in UTF-16 has zero bytes."""
+    codecs = ("utf-8", "utf-16-le", "utf-16-be") if b"\0" in data else ("utf-8",)
+    return [data.decode(c, "replace") for c in codecs]
 
 
 def _inflate(data: bytes) -> bytes | None:
-    """Decompressed gzip or zlib data; None if it is neither.  Longer output
-    than INFLATE_MAX raises OverflowError."""
-    if not (data.startswith(GZIP) or data.startswith(ZLIB)):
-        return None
-    unpack = zlib.decompressobj(wbits=47)
-    try:
-        out = unpack.decompress(data, INFLATE_MAX + 1)
-    except zlib.error:
-        return None
-    if len(out) > INFLATE_MAX:
-        raise OverflowError
-    return out if unpack.eof else None
-
-
-def _unbase64(run: str) -> bytes | None:
-    body = run.rstrip("=")
+    """Decompressed gzip or zlib data, of all members and as far as it goes;
+    None if it is neither.  Longer output than INFLATE_MAX raises
+    OverflowError."""
+    out, at = [], 0
+    while data.startswith((GZIP, *ZLIB), at):
+        unpack, size = zlib.decompressobj(wbits=47), sum(map(len, out))
+        try:
+            while not unpack.eof and at < len(data):
+                part = data[at:at + CHUNK]
+                out.append(unpack.decompress(part, INFLATE_MAX + 1 - size))
+                size += len(out[-1])
+                if size > INFLATE_MAX:
+                    raise OverflowError
+                at += len(part) - len(unpack.unused_data)
+        except zlib.error:
+            break
+        while data.startswith(b"\0", at):  # padding
+            at += 1
+    return b"".join(out) or None
+
+
+def _unbase64(run: str) -> bytes:
+    body = "".join(run.split()).rstrip("=").translate({45: 43, 95: 47})
     if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
+        body = body[:-1]
+    return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+
+
+def _base64_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that may be base64: runs within a line, and runs wrapped over
+    lines.  A wrapped run is a block of lines of equal length, the next line
+    (its short end) and maybe the line before (begun behind a name)."""
+    joined = 0
+    for m in BASE64_RUN.finditer(text):
+        yield m.span()
+        more = BASE64_MORE.match(text, m.end()) if m.start() >= joined and m[0][-1] != "=" else None
+        if more is None:
+            continue
+        joined = more.end()
+        lines = [m.span()] + [p.span() for p in BASE64_LINE.finditer(text, m.end(), joined)]
+        spans, i = {(m.start(), joined)}, 0
+        while i < len(lines):
+            j, size = i + 1, lines[i][1] - lines[i][0]
+            while j < len(lines) and lines[j][1] - lines[j][0] == size:
+                j += 1
+            if size >= BASE64_MIN and j - i < len(lines):
+                end = lines[min(j, len(lines) - 1)][1]
+                spans |= {(lines[i][0], end), (lines[max(i - 1, 0)][0], end)}
+            i = j
+        yield from sorted(spans)
 
 
 class Layer:
@@ -158,7 +187,7 @@ def scan(text: str | None) -> tuple[list, list, int]:
     text = text or ""
     base = sorted(find(text), key=lambda s: (s[0], s[2], s[1]))
     every, overflow = set(base), 0
-    seen = {(text, 0, len(text))}
+    seen, tried = {(text, 0, len(text))}, set()
     work = deque([Layer(text, None)])
 
     def add(layer: Layer | None) -> None:
@@ -178,19 +207,19 @@ def scan(text: str | None) -> tuple[list, list, int]:
                 for m in RUN.finditer(layer.text):
                     if sign in m[0]:
                         add(_in_place(layer, *m.span(), escapes(layer.text, *m.span())))
-        for m in BASE64_RUN.finditer(layer.text):
-            data = _unbase64(m[0])
-            if not data:
+        for a, b in _base64_runs(layer.text):
+            run, whole = layer.text[a:b], layer.origin(a, b)
+            if (run, *whole) in tried:
                 continue
+            tried.add((run, *whole))
+            data = _unbase64(run)
             try:
                 data = _inflate(data) or data
             except OverflowError:
                 overflow += 1
                 continue
-            plain = _plain(data)
-            if plain is not None:
-                whole = layer.origin(m.start(), m.end())
-                add(Layer(plain, [whole] * len(plain)))
+            for t in _texts(data):
+                add(Layer(t, [whole] * len(t)))
     return base, sorted(every, key=lambda s: (s[0], s[2], s[1])), overflow
 
 
