@@ -2,6 +2,7 @@
 
 import base64
 import gzip
+import random
 import zlib
 
 import pytest
@@ -103,3 +104,51 @@ def test_secret_across_a_line_end():
 def test_members_and_cut_gzip(data):
     run = b64(data)
     assert whole(f"a {run} b", run)
+
+
+def noise(n):
+    return b"".join(b"line %d, with text; " % (i % 1000) for i in range(n // 20 + 1))
+
+
+@pytest.mark.parametrize("at", ["start", "middle", "end"])
+def test_secrets_in_large_layers(at):
+    size, n = secret_scan.INFLATE_MAX, {"start": 0, "middle": 1, "end": 2}[at]
+    data = noise(n * size // 2 + 99) + SECRET.encode() + b", " + noise((2 - n) * size // 2 + 99)
+    run = b64(gzip.compress(data + noise(200)))
+    base, every, overflow = secret_scan.scan(f"é {run} .")
+    assert base == [] and overflow == 1
+    assert (2, 2 + len(run), 0) in every
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    for name, n in {"CHUNK": 64, "BLOCK": 100, "INFLATE_MAX": 300, "RUN_MAX": 1600, "OVERLAP": 100}.items():
+        monkeypatch.setattr(secret_scan, name, n)
+
+
+def random_text(n):
+    return "".join(random.Random(5).choices("abcdefghi ,\n", k=n))
+
+
+HIDDEN = {
+    "plain": SECRET.encode(),
+    "run": b"0" * 5000 + b" " + SECRET.encode() + b" " + b"0" * 5000,
+    "url": f"password%3Dhunter2hunter2{U}003d".encode(),
+    "base64": b64(f"{random_text(3000)} {SECRET} {random_text(3000)}".encode()).encode(),
+    "gzip": b64(gzip.compress(f"{random_text(9000)} {SECRET} {random_text(5000)}".encode())).encode(),
+    "wrapped": wrap(b64(zlib.compress(f"{random_text(9000)} {SECRET}".encode())), 64).encode(),
+    "word above": b"word\n" + wrap(b64(gzip.compress(f"{random_text(9000)} {SECRET}".encode())), 64).encode(),
+    "utf-16": f"é {SECRET}".encode("utf-16"),
+}
+
+
+@pytest.mark.parametrize("hidden", HIDDEN)
+@pytest.mark.parametrize("before", [0, 1, 96, 98, 99, 100, 555, 3000])
+def test_blocks_lose_nothing(small_blocks, hidden, before):
+    lead = noise(before)[:before // 2 * 2]
+    for data in (lead + b"; " + HIDDEN[hidden] + b"; " + noise(700), HIDDEN[hidden]):
+        run = b64(gzip.compress(data))
+        base, every, overflow = secret_scan.scan(f"é {run} .")
+        assert (2, 2 + len(run), 0) in every
+    # The same without a cut in sight, and as text that isn't compressed.
+    assert whole(f"a {b64(data)} b", b64(data))

@@ -9,19 +9,20 @@ layer is reported at the original span of the run that hid it.
 
 Spans are in code points, end exclusive.  Defined cases: a null or empty text
 has no spans; repeated rows are scanned alike; nothing depends on other rows; an
-empty table gives an empty result; other columns are ignored.  Decompressed data
-over INFLATE_MAX bytes isn't opened; ``overflow`` counts such runs, so that they
-can be looked at, and ``spans`` still has all that the other layers show.
+empty table gives an empty result; other columns are ignored.  Decoded data over
+INFLATE_MAX bytes is scanned and unwrapped block by block, in bounded memory;
+``overflow`` counts such runs, whose cost is out of proportion.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import re
 import string
 import zlib
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -51,8 +52,13 @@ BASE64_RUN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{BASE64_MIN},}}=
 BASE64_MORE = re.compile(r"(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 GZIP, ZLIB = b"\x1f\x8b", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
-INFLATE_MAX = 16 << 20
-CHUNK = 1 << 16
+BASE64_CHARS = string.ascii_letters + string.digits + "+/_-\r\n"
+BASE64_WRAPPED = re.compile(r"[A-Za-z0-9+/_\r\n-]*")
+# Memory: CHUNK bytes are inflated at a time into blocks of BLOCK; data up to
+# INFLATE_MAX is kept between its readings, longer data is inflated again.
+CHUNK, BLOCK = 1 << 16, 1 << 20
+INFLATE_MAX = RUN_MAX = 16 << 20
+OVERLAP = 1 << 16
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
@@ -70,33 +76,55 @@ def find(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _texts(data: bytes) -> list[str]:
-    """All texts that ``data`` may be.  What isn't text in them hides nothing:
-    it becomes replacement characters.  ASCII in UTF-16 has zero bytes."""
-    codecs = ("utf-8", "utf-16-le", "utf-16-be") if b"\0" in data else ("utf-8",)
-    return [data.decode(c, "replace") for c in codecs]
-
-
-def _inflate(data: bytes) -> bytes | None:
-    """Decompressed gzip or zlib data, of all members and as far as it goes;
-    None if it is neither.  Longer output than INFLATE_MAX raises
-    OverflowError."""
-    out, at = [], 0
-    while data.startswith((GZIP, *ZLIB), at):
-        unpack, size = zlib.decompressobj(wbits=47), sum(map(len, out))
-        try:
-            while not unpack.eof and at < len(data):
-                part = data[at:at + CHUNK]
-                out.append(unpack.decompress(part, INFLATE_MAX + 1 - size))
-                size += len(out[-1])
-                if size > INFLATE_MAX:
-                    raise OverflowError
-                at += len(part) - len(unpack.unused_data)
-        except zlib.error:
+def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """Decompressed gzip or zlib data, of all members and as far as it goes, in
+    blocks of at most BLOCK bytes; nothing if it is neither."""
+    unpack, rest = None, b""
+    for chunk in chunks:
+        for at in range(0, len(chunk), CHUNK):
+            rest += chunk[at:at + CHUNK]
+            while rest:
+                if unpack is None:
+                    if len(rest) < 2:
+                        break
+                    if not rest.startswith((GZIP, *ZLIB)):
+                        return
+                    unpack = zlib.decompressobj(wbits=47)
+                try:
+                    out = unpack.decompress(rest, BLOCK)
+                    while out:
+                        yield out
+                        out = unpack.decompress(unpack.unconsumed_tail, BLOCK)
+                except zlib.error:
+                    return
+                rest = b""
+                if unpack.eof:
+                    rest, unpack = unpack.unused_data.lstrip(b"\0"), None
+
+
+def _decoded(blocks: Iterator[bytes], codec: str) -> Iterator[str]:
+    """What isn't text becomes replacement characters and hides nothing."""
+    decoder = codecs.getincrementaldecoder(codec)("replace")
+    for block in blocks:
+        yield decoder.decode(block)
+    yield decoder.decode(b"", True)
+
+
+def _run_bytes(parts: Iterator[str], start: int) -> Iterator[bytes]:
+    """The data of the base64 run, wrapped or not, at ``start`` of a text."""
+    rest = ""
+    for part in parts:
+        if start >= len(part):
+            start -= len(part)
+            continue
+        m = BASE64_WRAPPED.match(part, start)
+        body = rest + "".join(m[0].split())
+        cut = len(body) // 4 * 4
+        yield _unbase64(body[:cut])
+        start, rest = 0, body[cut:]
+        if m.end() < len(part):
             break
-        while data.startswith(b"\0", at):  # padding
-            at += 1
-    return b"".join(out) or None
+    yield _unbase64(rest)
 
 
 def _unbase64(run: str) -> bytes:
@@ -132,17 +160,74 @@ def _base64_runs(text: str) -> Iterator[tuple[int, int]]:
 
 class Layer:
     """A text and, per character, the span of the original it stands for.
-    ``spans`` None: the original itself."""
+    ``spans`` None: the original itself; a tuple: all stand for that span."""
 
-    def __init__(self, text: str, spans: list[tuple[int, int]] | None):
+    def __init__(self, text: str, spans: list[tuple[int, int]] | tuple[int, int] | None):
         self.text, self.spans = text, spans
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         if self.spans is None:
             return start, end
+        if isinstance(self.spans, tuple):
+            return self.spans
         return self.spans[start][0], self.spans[end - 1][1]  # they are in order
 
 
+class Stream:
+    """Decoded data as layers that all stand for the span ``whole``, made one
+    by one.  ``chunks()`` gives the data anew, from its start.
+
+    Long text is cut where no match crosses.  A run without such a place is
+    cut at RUN_MAX, with an overlap that holds any secret but one with more
+    spaces in it; base64 that is open there is a stream of its own."""
+
+    def __init__(self, chunks: Callable[[], Iterator[bytes]], whole: tuple[int, int]):
+        self.whole, self.large, self.scoped = whole, False, False
+        self.items = self._items(chunks)
+
+    def _items(self, chunks: Callable[[], Iterator[bytes]]) -> Iterator[Layer | Stream]:
+        # The data as it stands, too: plain text may begin like zlib data.
+        for source in (lambda: _inflated(chunks()), chunks):
+            head, size = [], 0
+            for block in source():
+                head.append(block)
+                size += len(block)
+                if size > INFLATE_MAX:
+                    self.large = True
+                    break
+            else:
+                data = b"".join(head)
+                source = lambda data=data: iter([data])
+            # ASCII in UTF-16 has zero bytes.
+            both = size > INFLATE_MAX or any(b"\0" in block for block in head)
+            del head
+            for codec in ("utf-8", "utf-16-le", "utf-16-be") if both else ("utf-8",):
+                yield from self._pieces(lambda codec=codec, source=source: _decoded(source(), codec))
+
+    def _pieces(self, parts: Callable[[], Iterator[str]]) -> Iterator[Layer | Stream]:
+        held, before, enough, goes_on = "", 0, BLOCK, False
+        for part in parts():
+            if len(held) >= enough:
+                cut = len(held.rstrip(RUN_CHARS))
+                if cut:
+                    yield Layer(held[:cut], self.whole)
+                    goes_on = False
+                elif len(held) >= RUN_MAX:
+                    yield Layer(held, self.whole)
+                    cut = len(held) - OVERLAP
+                    at = len(held.rstrip(BASE64_CHARS))
+                    if at < cut and not (goes_on and at == 0):
+                        # Also from the next line: the first may be a word.
+                        for start in {at, held.find("\n", at) + 1 or at}:
+                            yield Stream(lambda start=before + start: _run_bytes(parts(), start), self.whole)
+                    goes_on = at < cut
+                enough = BLOCK if cut else 2 * enough
+                held, before = held[cut:], before + cut
+            held += part
+        if held:
+            yield Layer(held, self.whole)
+
+
 def _in_place(layer: Layer, start: int, end: int,
               escapes: Iterator[tuple[int, int, str]]) -> Layer | None:
     """The run with its ``escapes`` (start, end, decoded) replaced; all else
@@ -156,6 +241,8 @@ def _in_place(layer: Layer, start: int, end: int,
     if not text:
         return None
     text.append(layer.text[at:end])
+    if isinstance(layer.spans, tuple):
+        return Layer("".join(text), layer.spans)
     spans += [layer.origin(i, i + 1) for i in range(at, end)]
     return Layer("".join(text), spans)
 
@@ -181,45 +268,58 @@ def _unicode_escapes(text: str, start: int, end: int) -> Iterator[tuple[int, int
 ESCAPES = (("%", _url_escapes), ("\\", _unicode_escapes))
 
 
+def _mark(text: str) -> str | bytes:
+    return text if len(text) < CHUNK else blake2b(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def scan(text: str | None) -> tuple[list, list, int]:
     """(base spans, all spans, overflows): lists of (start, end, kind) in order
-    of start, kind, end."""
+    of start, kind, end, and the number of runs over INFLATE_MAX bytes."""
     text = text or ""
     base = sorted(find(text), key=lambda s: (s[0], s[2], s[1]))
-    every, overflow = set(base), 0
-    seen, tried = {(text, 0, len(text))}, set()
-    work = deque([Layer(text, None)])
-
-    def add(layer: Layer | None) -> None:
-        if layer is None:
-            return
-        mark = (layer.text, *layer.origin(0, len(layer.text)))
-        if mark not in seen:
-            seen.add(mark)
-            for a, b, kind in find(layer.text):
-                every.add((*layer.origin(a, b), kind))
-            work.append(layer)
-
+    every, overflow = set(), 0
+    # What was opened, in all and within the current block of each large
+    # stream: memory doesn't grow with a stream's length.
+    seen: list[set] = [set()]
+
+    def new(kind: str, text: str, whole: tuple[int, int]) -> bool:
+        mark = (kind, _mark(text), *whole)
+        if any(mark in s for s in seen):
+            return False
+        seen[-1].add(mark)
+        return True
+
+    work: list[Layer | Stream] = [Layer(text, None)]
     while work:
-        layer = work.popleft()
+        layer = work.pop()
+        if isinstance(layer, Stream):
+            stream = layer
+            if stream.scoped:
+                seen.pop()
+            layer = next(stream.items, None)
+            if layer is None:
+                overflow += stream.large
+                continue
+            stream.scoped = stream.large
+            if stream.scoped:
+                seen.append(set())
+            work += stream, layer
+            continue
+        if not layer.text or not new("layer", layer.text, layer.origin(0, len(layer.text))):
+            continue
+        every.update((*layer.origin(a, b), kind) for a, b, kind in find(layer.text))
         for sign, escapes in ESCAPES:
             if sign in layer.text:
                 for m in RUN.finditer(layer.text):
                     if sign in m[0]:
-                        add(_in_place(layer, *m.span(), escapes(layer.text, *m.span())))
+                        decoded = _in_place(layer, *m.span(), escapes(layer.text, *m.span()))
+                        if decoded is not None:
+                            work.append(decoded)
         for a, b in _base64_runs(layer.text):
             run, whole = layer.text[a:b], layer.origin(a, b)
-            if (run, *whole) in tried:
-                continue
-            tried.add((run, *whole))
-            data = _unbase64(run)
-            try:
-                data = _inflate(data) or data
-            except OverflowError:
-                overflow += 1
-                continue
-            for t in _texts(data):
-                add(Layer(t, [whole] * len(t)))
+            if new("run", run, whole):
+                data = _unbase64(run)
+                work.append(Stream(lambda data=data: iter([data]), whole))
     return base, sorted(every, key=lambda s: (s[0], s[2], s[1])), overflow
 
 
