@@ -19,7 +19,8 @@ with A-Z lower-cased.
 
 Defined cases: a null or empty text contains nothing; an item with fewer words
 than a shingle can't be told from ordinary language and matches nothing; items
-with equal words are one item, reported by the smallest item_id; rows equal in
+with equal words are searched once, and reported by the smallest item_id in
+``contaminated`` and by every item_id in ``contaminated_items``; rows equal in
 id and text give one result; null ids are kept; empty tables give empty results;
 other columns are kept.
 """
@@ -129,7 +130,7 @@ def window_hits(hashes: list[np.ndarray], classes: list[int], slots: np.ndarray
 
 def prepared_items(items: DataFrame) -> DataFrame:
     """(item_key, text, item_id, size_class, keys) of the items with a
-    shingle; equal items once."""
+    shingle; (item_key, item_id) says which ids share a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -147,14 +148,19 @@ def prepared_items(items: DataFrame) -> DataFrame:
 
     found = items.select(F.col("item_id").cast("bigint"), "text").mapInArrow(
         run, "item_id bigint, text string, size_class int, keys array<bigint>")
-    return found.groupBy(F.xxhash64("text").alias("item_key"), "text").agg(
-        F.min("item_id").alias("item_id"), F.first("size_class").alias("size_class"),
-        F.first("keys").alias("keys"))
+    return found.select(F.xxhash64("text").alias("item_key"), "text", "item_id", "size_class", "keys")
+
+
+def different_items(items: DataFrame) -> DataFrame:
+    """(item_key, text, size_class, keys) of ``items`` as prepared; equal items
+    once."""
+    return items.groupBy("item_key", "text").agg(
+        F.first("size_class").alias("size_class"), F.first("keys").alias("keys"))
 
 
 def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_key) of the pairs to verify; ``items`` as
-    prepared."""
+    """(doc_id, text_hash, item_key) of the pairs to verify; ``items`` are the
+    different ones."""
     spark = docs.sparkSession
     keys = items.select("item_key", F.explode("keys").alias("key"))
     # At most one row per class and per slot reaches the driver.
@@ -181,16 +187,16 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
     return hits.join(keys, "key").select("doc_id", "text_hash", "item_key").distinct()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED) -> DataFrame:
-    """(doc_id, text_hash, item_id, n_shingles, n_found): the verified pairs."""
+def verified(docs: DataFrame, items: DataFrame, contained: float = CONTAINED) -> DataFrame:
+    """(doc_id, text_hash, item_key, n_shingles, n_found); ``items`` as
+    prepared."""
     require(docs, ["doc_id", "text"])
-    require(items, ["item_id", "text"])
-    items = written(prepared_items(items), "items")
+    items = written(different_items(items), "different")
     pairs = written(candidates(docs, items), "candidates")
     # The items of one document together, so that its text is cut once.
-    wanted = pairs.join(items.select("item_key", "item_id", F.col("text").alias("item")), "item_key").groupBy(
+    wanted = pairs.join(items.select("item_key", F.col("text").alias("item")), "item_key").groupBy(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-            F.collect_list(F.struct("item_id", "item")).alias("items"))
+            F.collect_list(F.struct("item_key", "item")).alias("items"))
     wanted = written(wanted, "wanted")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.xxhash64("text").alias("text_hash"), "text")
@@ -201,7 +207,7 @@ def contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(n, pa.int64()) for n in
-                            ("doc_id", "text_hash", "item_id", "n_shingles", "n_found")])
+                            ("doc_id", "text_hash", "item_key", "n_shingles", "n_found")])
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
@@ -211,22 +217,46 @@ def contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED
                     need = _shingles(words_of(it["item"]))
                     n = len(need & have)
                     if 1000 * n >= per_mille * len(need):
-                        rows.append({"doc_id": doc_id, "text_hash": text_hash, "item_id": it["item_id"],
+                        rows.append({"doc_id": doc_id, "text_hash": text_hash, "item_key": it["item_key"],
                                      "n_shingles": len(need), "n_found": n})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    result = found.mapInArrow(run, "doc_id bigint, text_hash bigint, item_id bigint, "
+    result = found.mapInArrow(run, "doc_id bigint, text_hash bigint, item_key bigint, "
                                    "n_shingles bigint, n_found bigint")
     return result.distinct()
 
 
+def _prepared(items: DataFrame) -> DataFrame:
+    require(items, ["item_id", "text"])
+    return written(prepared_items(items), "items")
+
+
+def _with_ids(found: DataFrame, ids: DataFrame) -> DataFrame:
+    return found.join(maybe_broadcast(ids), "item_key").select(
+        "doc_id", "text_hash", "item_id", "n_shingles", "n_found")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_shingles, n_found): the verified pairs,
+    equal items by their smallest id."""
+    items = _prepared(items)
+    return _with_ids(verified(docs, items, contained),
+                     items.groupBy("item_key").agg(F.min("item_id").alias("item_id")))
+
+
+def contaminated_items(docs: DataFrame, items: DataFrame, contained: float = CONTAINED) -> DataFrame:
+    """As ``contaminated``, with every item_id of equal items."""
+    items = _prepared(items)
+    return _with_ids(verified(docs, items, contained), items.select("item_key", "item_id").distinct())
+
+
 def _shingles(words: list[bytes]) -> set[bytes]:
     return {b" ".join(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, contained: float = CONTAINED) -> DataFrame:
     """``docs`` without the documents that contain an item, all columns."""
-    bad = written(contaminated(docs, items, contained).select(
+    bad = written(verified(docs, _prepared(items), contained).select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "bad")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
                        F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_hash"))

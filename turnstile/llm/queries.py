@@ -74,8 +74,8 @@ def op8_crf_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op9_containment(spark: SparkSession, d: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).select(
-        "doc_id", "item_id", "n_shingles", "n_found")
+    found = decontaminate.contaminated_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_found")
 
 
 def op10_token_orc(spark: SparkSession, d: str) -> DataFrame:
