@@ -28,7 +28,7 @@ def tokenize(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int) ->
     empty.  Narrow: nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, keeps_space)
+        enc = encoder(tokenizer, keeps_space, special=True)
         end = int(end_id).to_bytes(4, "little")
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
