@@ -12,6 +12,7 @@ from turnstile.llm import (
     decontaminate,
     line_dedup,
     packing,
+    periodic_runs,
     quality_rules,
     secret_scan,
     simhash,
@@ -84,11 +85,16 @@ def op10_token_orc(spark: SparkSession, d: str) -> DataFrame:
     return token_orc.checksums(token_orc.read_token_orc(spark, path))
 
 
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    docs = periodic_runs.with_periodic_tails(table(spark, d, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_segments, op2_wordpiece_counts, op3_concat_and_cut, op4_simhash_pigeonring,
         op5_host_rules, op6_fuzzy_lines, op7_secret_layers, op8_crf_quality, op9_containment,
-        op10_token_orc)
+        op10_token_orc, op12_periodic_runs)
 }
 
 _SHA1 = "sha1(coalesce(html, ''))"
