@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.llm import (
+    block_join,
     crf_quality,
     decontaminate,
     line_dedup,
     packing,
     periodic_runs,
     quality_rules,
+    rtree_negatives,
     secret_scan,
     simhash,
     token_orc,
@@ -85,16 +87,26 @@ def op10_token_orc(spark: SparkSession, d: str) -> DataFrame:
     return token_orc.checksums(token_orc.read_token_orc(spark, path))
 
 
+def op11_block_join(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    return block_join.nearest(vectors.where("vec_id % 20 = 0"), vectors)
+
+
 def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
     docs = periodic_runs.with_periodic_tails(table(spark, d, "documents"))
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
 
 
+def op13_rtree_negatives(spark: SparkSession, d: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree_negatives.hard_negatives(table(spark, d, "embeddings"), F.col("id") % 100 == 0, moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_segments, op2_wordpiece_counts, op3_concat_and_cut, op4_simhash_pigeonring,
         op5_host_rules, op6_fuzzy_lines, op7_secret_layers, op8_crf_quality, op9_containment,
-        op10_token_orc, op12_periodic_runs)
+        op10_token_orc, op11_block_join, op12_periodic_runs, op13_rtree_negatives)
 }
 
 _SHA1 = "sha1(coalesce(html, ''))"
@@ -183,8 +195,51 @@ select doc_id, item_id, n_shingles, n_found from f join s on s.id = item_id
 where 10 * n_found >= 8 * n_shingles
 """
 
+_USABLE = ("{x} is not null and len({x}) > 0 and "
+           "len(list_filter({x}, lambda v: v is not null and isfinite(v))) = len({x})")
+
+OP11_SQL = f"""
+with v as (
+  select vec_id, embedding::double[] as x from embeddings
+  where vec_id is not null and {_USABLE.format(x="embedding")}
+    and len(list_filter(embedding, lambda v: v <> 0)) > 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_reduce(
+      list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i]), lambda a, b: a + b) as score
+  from v as q join v as c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.x) = len(c.x))
+select query_id, cast(row_number() over w as integer) as rank, vec_id, score from s
+window w as (partition by query_id order by score desc, vec_id)
+qualify rank <= {block_join.K}
+"""
+
+OP13_SQL = f"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda c: floor(256 * c::double)::bigint) as x
+  from embeddings
+  where vec_id is not null and label is not null and {_USABLE.format(x="embedding")}),
+s as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_reduce(
+      list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * c.x[i]), lambda p, q: p + q) as score
+  from v as a join v as c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id and len(a.x) = len(c.x)),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {rtree_negatives.POSITIVES}),
+n as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score from p join s using (anchor_id)
+  where not same and {rtree_negatives.WINDOW[0]} * positive_score <= 100 * s.score
+    and 100 * s.score <= {rtree_negatives.WINDOW[1]} * positive_score)
+select anchor_id, positive_id, cast(row_number() over w as integer) as rank, negative_id,
+       positive_score::bigint as positive_score, negative_score::bigint as negative_score
+from n
+window w as (partition by anchor_id, positive_id order by negative_score desc, negative_id)
+qualify rank <= {rtree_negatives.NEGATIVES}
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_segments": OP1_SQL,
     "op5_host_rules": OP5_SQL,
     "op9_containment": OP9_SQL,
+    "op11_block_join": OP11_SQL,
+    "op13_rtree_negatives": OP13_SQL,
 }
