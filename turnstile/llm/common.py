@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +25,28 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, kind: str = "table") -> DataFrame:
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def written(df: DataFrame, kind: str = "table", compression: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage and
     survives the loss of any executor."""
     path = shared_path(df.sparkSession, kind)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` of which nothing is read any more: what
+    was made of them is written itself."""
+    for df in tables:
+        path = _PATHS.pop(df, None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, weight: str,

@@ -62,7 +62,7 @@ def op5_host_rules(spark: SparkSession, d: str) -> DataFrame:
 
 def op6_fuzzy_lines(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    lines = line_dedup.dropped_lines(docs).select(
+    lines = line_dedup.line_report(docs).select(
         "doc_id", "text_hash", "n_lines", F.size("dropped").cast("bigint").alias("n_dropped"),
         F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines"))
     return lines

@@ -252,8 +252,8 @@ def _codes(rows: DataFrame, keep_label: Column) -> DataFrame:
 def tile_splits(points: DataFrame) -> list[np.ndarray]:
     """Medians of successive coordinates that part a bounded sample into tiles: a
     tree in heap order, level by level."""
-    rows = points.select("id", "vector").orderBy(F.xxhash64("id", F.lit(29)), "id").limit(SAMPLE_ROWS)
-    vectors = [r.vector[:TILE_LEVELS] for r in rows.collect()]
+    rows = points.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(SAMPLE_ROWS)
+    vectors = [r[0] for r in rows.select(F.slice("vector", 1, TILE_LEVELS)).collect()]
     dim = min(map(len, vectors), default=0)
     sample = np.array([v[:dim] for v in vectors]).reshape(len(vectors), dim)
     tile, levels = np.zeros(len(sample), np.int64), []
