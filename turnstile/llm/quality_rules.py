@@ -149,9 +149,12 @@ def quality_report(docs: DataFrame, host: str = "source") -> DataFrame:
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     """``docs`` without the rejected documents, all its columns and no more.
-    The columns travel in one struct, so their names can't clash."""
+    The columns travel in one struct, so their names can't clash.  Texts are
+    measured once; those that fail by themselves aren't written again."""
     require(docs, ["text", host])
-    columns = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc"),
-                      F.col(host).alias("source"), measure(F.col("text")).alias("_measures"))
-    return judged(row).where("_kept").select("_doc.*")
+    measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                           F.col(host).alias("source"), measure(F.col("text")).alias("_measures"))
+    fails = failures(F.col("_measures"))["base"]
+    table = written(measured.select(
+        "source", "_measures", F.when(~fails, F.col("_doc")).alias("_doc")), "measured")
+    return judged(table).where("_kept").select("_doc.*")
