@@ -7,8 +7,7 @@ their mean weighted by line length is the document's score.
 
 The field is trained by maximum likelihood on documents whose label all their
 lines take.  The training set is a bounded sample: of each label the
-TRAIN_DOCS rows with the smallest hash, of at most TRAIN_LINES lines each.
-Everything else covers all rows.
+TRAIN_DOCS rows with the smallest hash, whole.  Everything else covers all rows.
 
 Defined cases: a null or empty text is one empty line; a document labelled
 twice is used twice; rows without a label or id don't train; with no label, or
@@ -26,7 +25,6 @@ from pyspark.sql import functions as F
 from turnstile.llm.common import require
 
 TRAIN_DOCS = 1_500
-TRAIN_LINES = 400
 STEPS = 250
 RATE = 0.05
 RIDGE = 1e-3
@@ -194,8 +192,7 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS,
-          train_lines: int = TRAIN_LINES) -> Field:
+def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Field:
     """The field learnt from the labelled rows that aren't held out."""
     rows = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("good"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("good").isin(0, 1) & ~is_held_out(F.col("doc_id")))
@@ -206,14 +203,16 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS,
         chosen = side if chosen is None else chosen.union(side)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf("binary")
     def flat(column: pd.Series) -> pd.Series:
-        return pd.Series([line_features(t)[0][:train_lines].ravel() for t in column])
-
-    got = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "good", flat("text").alias("x"))
-    # Rows in a fixed order, so that training repeats exactly.
-    got = sorted(((r.doc_id, r.good, tuple(r.x)) for r in got.collect()))
-    return fit([np.array(x, np.float32).reshape(-1, N) for _, _, x in got], [g for _, g, _ in got])
+        return pd.Series([line_features(t)[0].tobytes() for t in column])
+
+    # The features as bytes, in Arrow: no object per number reaches the driver.
+    got = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "good", flat("text").alias("x")).toArrow()
+    rows = zip(*(got.column(c).to_pylist() for c in ("doc_id", "good", "x")))
+    # In a fixed order, so that training repeats exactly.
+    rows = sorted(rows)
+    return fit([np.frombuffer(x, np.float32).reshape(-1, N) for _, _, x in rows], [g for _, g, _ in rows])
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = GOOD) -> DataFrame:
