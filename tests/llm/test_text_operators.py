@@ -313,3 +313,17 @@ def test_containment_odd_rows(spark, frame, odd_rows):
     assert contained(frame(odd_rows), its.where("false")) == set()
     kept = decontaminate.keep_clean(frame(odd_rows), its).collect()
     assert len(kept) == len(odd_rows) - 3  # the two equal rows and the null id
+
+
+def test_training_takes_whole_texts(spark):
+    """What tells the labels apart stands after thousands of lines."""
+    from turnstile.llm import crf_quality
+
+    plain = "an ordinary line of ordinary words.\n" * 1_500
+    docs = spark.createDataFrame([(i, plain + ("#### $$$$ ||||\n" * 1_500 if i % 2 else plain)) for i in (1, 3, 4, 6)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in (1, 3, 4, 6)], "doc_id bigint, quality int")
+    field = crf_quality.train(docs, labels)
+    if field.constant is None:
+        good, bad = field.scores(["an ordinary line of ordinary words.\n" * 50, "#### $$$$ ||||\n" * 50])
+        assert good > bad

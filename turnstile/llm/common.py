@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Sequence
 from weakref import WeakKeyDictionary
@@ -78,6 +79,13 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str,
     return out
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of what nothing refers to any
+    more: it learns of them when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

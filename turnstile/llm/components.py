@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import lookup, written
+from turnstile.llm.common import discard, lookup, written
 
 
 def _star(edges: DataFrame, most: int) -> DataFrame:
@@ -58,7 +58,10 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     edges = written(edges, "edges")
     while not _is_stars(edges):
         n = edges.count()  # neither step makes more edges than it takes
-        edges = written(_small_star(written(_large_star(edges, n), "edges"), n), "edges")
+        large = written(_large_star(edges, n), "edges")
+        discard(edges)
+        edges = written(_small_star(large, n), "edges")
+        discard(large)
     # Every component is now a star around its smallest vertex.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select("v", "v").distinct())
