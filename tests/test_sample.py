@@ -3,6 +3,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from turnstile.operators import sample as S
 
@@ -177,3 +178,26 @@ def test_class_values_are_bounded(spark):
 
     with pytest.raises(ValueError):
         class_values(spark.range(MAX_CLASSES + 1), "id")
+
+
+@pytest.mark.parametrize("n, ids", [(1000, 3), (1000, 1), (7, 1)])
+def test_exact_split_with_repeated_ids(spark, n, ids):
+    rows = [(i % ids, i // 50) for i in range(n)]
+    df = spark.createDataFrame(rows, "id bigint, v bigint").repartition(5)
+    out = S.train_test_split(df, "id")
+    assert out.columns == ["id", "v", "split"]
+    assert out.where("split = 'test'").count() == -(-n // 5)
+    assert sorted((r.id, r.v) for r in out.collect()) == sorted(rows)
+
+
+def test_exact_split_with_more_equal_ids_than_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(S, "BOUNDARY_SORT_MAX", 100)
+    df = spark.range(3000).select(F.lit(7).alias("id"), F.lit("x").alias("v")).union(
+        spark.range(30).select((F.col("id") + 100).cast("int"), F.lit("y")))
+    out = S.train_test_split(df, "id")
+    assert out.count() == 3030 and out.where("split = 'test'").count() == 606
+    # The same rows for the same seed where rows differ.
+    different = spark.range(3000).select(F.lit(7).alias("id"), "id")
+    different = different.toDF("id", "v")
+    a, b = (S.train_test_split(different.repartition(k), "id").where("split = 'test'") for k in (3, 8))
+    assert {r.v for r in a.collect()} == {r.v for r in b.collect()} and a.count() == 600

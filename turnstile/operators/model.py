@@ -11,6 +11,7 @@ from typing import Sequence
 
 import numpy as np
 from pyspark.ml.classification import (
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from turnstile import defaults as D
 from turnstile.functions.expressions import name_lookup
+from turnstile.operators.network import Network
 
 # Trees grown in one fit.
 TREES_PER_FIT = 250
@@ -83,9 +85,9 @@ def fit_mlp(df: DataFrame, features_col: str, label: str, n_inputs: int,
             hidden: Sequence[int] = D.MLP_HIDDEN, n_outputs: int = 2,
             max_iter: int = D.MLP_MAX_ITER, block_size: int = D.MLP_BLOCK_SIZE,
             seed: int = 0):
-    """Feed-forward network ``[n_inputs, *hidden, n_outputs]`` (sigmoid hidden
-    units, softmax output, L-BFGS) — Spark's distributed equivalent of the
-    reference's small ReLU network; compare by accuracy, not weights."""
+    """Feed-forward network ``[n_inputs, *hidden, n_outputs]`` with sigmoid hidden
+    units and a softmax output, trained by L-BFGS: the alternative to
+    ``network.fit_relu``."""
     (lab,) = name_lookup(df, [label])
     mlp = MultilayerPerceptronClassifier(
         featuresCol=features_col, labelCol=lab,
@@ -94,21 +96,28 @@ def fit_mlp(df: DataFrame, features_col: str, label: str, n_inputs: int,
     return mlp.fit(df)
 
 
+def scored(model, df: DataFrame, features_col: str = "features") -> DataFrame:
+    """``df`` with ``probability`` (an array by class) and ``prediction``.  A network,
+    Spark's own too, scores in column expressions."""
+    if isinstance(model, MultilayerPerceptronClassificationModel):
+        features_col, model = model.getFeaturesCol(), Network.from_spark_ml(model)
+    if isinstance(model, Network):
+        return model.transform(df, features_col)
+    return model.transform(df).withColumn("probability", vector_to_array("probability"))
+
+
 def turnover_report(model, df: DataFrame, id_col: str) -> DataFrame:
     """``(emp_identifier, turnover_percent)`` for every row: 100 · P(class 0),
     class 0 being 'No' (has left)."""
     (i,) = name_lookup(df, [id_col])
-    scored = model.transform(df)
-    return scored.select(F.col(i).alias("emp_identifier"),
-                         (F.lit(100.0) * vector_to_array("probability")[0])
-                         .alias("turnover_percent"))
+    return scored(model, df).select(F.col(i).alias("emp_identifier"),
+                                    (F.lit(100.0) * F.col("probability")[0]).alias("turnover_percent"))
 
 
 def evaluate_accuracy(model, df: DataFrame, label: str) -> DataFrame:
     """One row: accuracy in percent (4 decimals) and the row count."""
     (lab,) = name_lookup(df, [label])
-    scored = model.transform(df)
-    return scored.agg(
+    return scored(model, df).agg(
         F.round(F.lit(100.0) * F.avg((F.col("prediction") == F.col(lab)).cast("double")), 4)
         .alias("accuracy_percent"),
         F.count(F.lit(1)).alias("n_rows"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile import defaults as D
@@ -44,10 +44,18 @@ COPY_CHUNK = 10_000
 def kth_key(df: DataFrame, key: Column, tie: str,
             k: int | Callable[[int], int]) -> tuple[str, object] | None:
     """The k-th smallest ``(key, tie)`` (1-based) where ``key`` is a 32-hex-digit
-    string; None for k <= 0.  ``tie`` must be unique within equal keys.
+    string; None for k <= 0.
 
     ``k`` may be a function of the row count: the first histogram gives the
     count, so no separate counting pass is needed."""
+    found = kth_rows(df, key, tie, k)
+    return found and found[:2]
+
+
+def kth_rows(df: DataFrame, key: Column, tie: str,
+             k: int | Callable[[int], int]) -> tuple[str, object, int, int] | None:
+    """(key, tie, need, count): the k-th smallest ``(key, tie)``, how many rows have
+    it, and how many of those are among the first k."""
     if not callable(k) and k <= 0:
         return None
     frame = df.select(key.alias("_key"), F.col(tie).alias("_tie"))
@@ -71,12 +79,13 @@ def kth_key(df: DataFrame, key: Column, tie: str,
             before += r._n
         remaining -= before
         level_rows = level_rows.where(F.substring("_key", 1, len(prefix)) == F.lit(prefix))
-        if count <= BOUNDARY_SORT_MAX:
+        # Rows of one whole key are counted by tie below, however many they are.
+        if count <= BOUNDARY_SORT_MAX or len(prefix) >= 32:
             break
-        if len(prefix) >= 32:
-            raise ValueError(f"{count} rows share one key: '{tie}' is not unique")
-    row = level_rows.orderBy("_key", "_tie").offset(remaining - 1).limit(1).first()
-    return row["_key"], row["_tie"]
+    ties = level_rows.groupBy("_key", "_tie").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_key", "_tie"))
+    row = ties.withColumn("_upto", upto).where(F.col("_upto") >= remaining).orderBy("_key", "_tie").first()
+    return row["_key"], row["_tie"], remaining - (row["_upto"] - row["_n"]), row["_n"]
 
 
 def _at_or_before(key: Column, tie: Column, cut: tuple[str, object] | None) -> Column:
@@ -97,7 +106,9 @@ def train_test_split(df: DataFrame, id_col: str, test_size: float = D.TEST_SIZE,
 
     ``exact=True``: the test part is the first ``ceil(test_size·n)`` rows by
     ``(md5(id|seed), id)`` — shuffled, unstratified, exact size, and the same
-    rows for the same ids and seed.  ``exact=False``: each row independently
+    rows for the same ids and seed.  Of rows that share the id at the boundary
+    those with the smaller digest of the whole row come first; of equal rows as
+    many as are needed, which makes the table be written once.  ``exact=False``: each row independently
     (hash below ``test_size``) — no extra job at all.
     """
     (i,) = name_lookup(df, [id_col])
@@ -105,9 +116,33 @@ def train_test_split(df: DataFrame, id_col: str, test_size: float = D.TEST_SIZE,
     if not exact:
         flag = hash_uniform([i], seed) < F.lit(float(test_size))
     else:
-        cut = kth_key(df, key, i, lambda n: math.ceil(test_size * n))
-        flag = _at_or_before(key, F.col(i), cut)
-    return df.withColumn(output, F.when(flag, F.lit("test")).otherwise(F.lit("train")))
+        df, flag = _first_rows(df, key, i, lambda n: math.ceil(test_size * n))
+    return df.withColumn(output, F.when(flag, F.lit("test")).otherwise(F.lit("train"))).drop("_row_at", "_first")
+
+
+def _first_rows(df: DataFrame, key: Column, tie: str, k: Callable[[int], int]) -> tuple[DataFrame, Column]:
+    """``df`` and a flag that holds for exactly k of its rows, the first by
+    ``(key, tie)`` whatever repeats."""
+    found = kth_rows(df, key, tie, k)
+    if found is None:
+        return df, F.lit(False)
+    cut_key, cut_tie, need, count = found
+    if need == count:
+        return df, _at_or_before(key, F.col(tie), (cut_key, cut_tie))
+    at_cut = (key == F.lit(cut_key)) & (F.col(tie) == F.lit(cut_tie))
+    before = (key < F.lit(cut_key)) | ((key == F.lit(cut_key)) & (F.col(tie) < F.lit(cut_tie)))
+    row = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+    cut_row, _, need, count = kth_rows(df.where(at_cut), row, tie, need)
+    if need == count:
+        return df, before | (at_cut & (row <= F.lit(cut_row)))
+    # Equal rows: any will do, but a number must stay with its row.
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    df = cut_lineage(df.select(*columns, row.alias("_row"), F.monotonically_increasing_id().alias("_row_at")))
+    place = F.lower(F.lpad(F.hex("_row_at"), 32, "0"))
+    same = at_cut & (F.col("_row") == F.lit(cut_row))
+    cut_place = kth_key(df.where(same), place, "_row_at", need)[1]
+    flag = before | (at_cut & (F.col("_row") < F.lit(cut_row))) | (same & (F.col("_row_at") <= F.lit(cut_place)))
+    return df.select(*columns, flag.alias("_first"), "_row_at"), F.col("_first")
 
 
 # ---------------------------------------------------------------------------

@@ -9,7 +9,9 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,11 +19,13 @@ from turnstile import defaults as D
 from turnstile.operators import clean as C
 from turnstile.operators import encode as E
 from turnstile.operators import impute as I
+from turnstile.operators import model as M
 from turnstile.operators import profile as P
 from turnstile.operators import sample as S
+from turnstile.operators.network import Network
 from turnstile.plans.pipeline import Columns, Settings, run_legacy, run_pipeline, train_and_score
 from turnstile.session import checkpoint_dir
-from turnstile.sources.files import read_csv, write_csv
+from turnstile.sources.files import read_config, read_configured, read_csv, write_csv
 from turnstile.sources.fixtures import CUST_EMP_SQL, EMP_SQL, cust_emp, emp, emp_stream
 
 # Column roles of the derived views.
@@ -241,7 +245,7 @@ def q_csv_roundtrip(spark, d):
 
 
 def _cust_trained(spark, d, forest: bool = True, network: bool = True):
-    settings = Settings(fit_forest=forest, fit_network=network)
+    settings = Settings(fit_forest=forest, fit_network=network, count_balanced=False)
     return train_and_score(_encoded_cust(spark, d), CUST_COLUMNS, settings)
 
 
@@ -317,6 +321,119 @@ def q_legacy_check(spark, d):
                  F.count_if(p.isNull() | (p < 0) | (p > 100)).alias("n_out_of_range"))
 
 
+# A signal planted in the customers: who is old and long at work leaves.  Rows
+# near the boundary are left out where single rows are compared.
+SIGNAL_LIMIT, SIGNAL_MARGIN = 58, 5
+
+
+def _planted_cust(spark, d):
+    """The customers whose label is a function of two features."""
+    leaves = F.col("age") + F.col("total_working_years") >= SIGNAL_LIMIT
+    return cust_emp(spark, d).withColumn("is_active", F.when(leaves, "No").otherwise("Yes"))
+
+
+def _planted_trained(spark, d, **settings):
+    enc, _ = E.label_encode(_planted_cust(spark, d), ["department", "is_active"])
+    return train_and_score(enc, CUST_COLUMNS, Settings(count_balanced=False, **settings))
+
+
+def q_planted_turnover(spark, d):
+    """Who leaves by the trained network, for all rows off the boundary."""
+    t = _planted_trained(spark, d, fit_forest=False)["turnover"]
+    off = _planted_cust(spark, d).where(
+        F.abs(F.col("age") + F.col("total_working_years") - SIGNAL_LIMIT + 0.5) >= SIGNAL_MARGIN)
+    return t.join(off.select(F.col("employee_id").alias("emp_identifier")), "emp_identifier").select(
+        F.col("emp_identifier").cast("bigint").alias("emp_identifier"),
+        (F.col("turnover_percent") > 50).alias("leaves"))
+
+
+def q_planted_accuracy(spark, d):
+    """Of the test part, and how far the report's means by class are apart."""
+    out = _planted_trained(spark, d, fit_forest=False)
+    by_class = out["turnover"].join(
+        _planted_cust(spark, d).select(F.col("employee_id").alias("emp_identifier"), "is_active"), "emp_identifier").agg(
+        F.avg(F.when(F.col("is_active") == "No", F.col("turnover_percent"))).alias("gone"),
+        F.avg(F.when(F.col("is_active") == "Yes", F.col("turnover_percent"))).alias("here"))
+    return out["accuracy"].crossJoin(F.broadcast(by_class)).select(
+        "n_rows", (F.col("accuracy_percent") >= 95).alias("accurate"),
+        ((F.col("gone") >= 85) & (F.col("here") <= 15)).alias("far_apart"))
+
+
+def q_planted_importance(spark, d):
+    """The two planted features come first, in the order of the report."""
+    i = _planted_trained(spark, d, fit_network=False)["importances"]
+    by = Window.orderBy(F.desc("importance"), "feature")  # a row per feature
+    ranked = i.withColumn("position", F.row_number().over(by)).where("position <= 2")
+    return ranked.select("position", "feature", (F.col("importance") >= 15).alias("large"))
+
+
+# A network with fixed weights: multiples of an eighth, by a rule.
+FORWARD_LAYERS = [3, 6, 6, 6, 2]
+FORWARD_NET = Network(
+    [np.array([[((7 * i + 3 * j + 5 * k) % 11 - 5) / 8 for j in range(m)] for i in range(n)])
+     for k, (n, m) in enumerate(zip(FORWARD_LAYERS, FORWARD_LAYERS[1:]))],
+    [np.array([((i + k) % 5 - 2) / 8 for i in range(m)]) for k, m in enumerate(FORWARD_LAYERS[1:])])
+
+
+def q_mlp_forward(spark, d):
+    inputs = F.array(F.col("age") / 64, F.col("total_working_years") / 25, F.col("monthly_income") / 10000)
+    scored = FORWARD_NET.score(cust_emp(spark, d).withColumn("x", inputs), F.col("x"))
+    return scored.select("employee_id", F.round(F.col("probability")[0], 9).alias("p_no"),
+                         F.round(F.col("probability")[1], 9).alias("p_yes"))
+
+
+def q_require_complete(spark, d):
+    """The gate before training, before and after imputation."""
+    enc, _ = E.label_encode(_cleaned(spark, d).drop("salary_scale", "standard_hours"))
+    filled = I.mean_impute(enc)
+    rows = [(name, P.total_missing(df).select(F.col("total_missing"))) for name, df in
+            (("encoded", enc), ("imputed", filled))]
+    out = None
+    for name, missing in rows:
+        part = missing.select(F.lit(name).alias("stage"), "total_missing",
+                              (F.col("total_missing") == 0).alias("complete"))
+        out = part if out is None else out.union(part)
+    return out
+
+
+def q_assemble(spark, d):
+    """Columns to one vector and back, cell by cell."""
+    df = M.assemble(cust_emp(spark, d), CUST_FEATURES)
+    x = vector_to_array("features")
+    return df.select("employee_id", F.size(x).alias("width"),
+                     *[x[k].alias(f"x{k}") for k in range(len(CUST_FEATURES))])
+
+
+def q_configured_scan(spark, d):
+    """The configured columns of one table, written in four formats, each read by
+    a config document that names its format and columns."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/configured-{uuid.uuid4().hex}"
+    source = emp(spark, d)
+    mandatory, optional = ["employee_id", "position", "is_active"], ["monthly_income", "start_date"]
+    out = None
+    for fmt in ("csv", "parquet", "json", "orc"):
+        path = f"{root}/{fmt}"
+        if fmt == "csv":
+            write_csv(source, path)
+        else:
+            source.write.format(fmt).save(path)
+        lists = F.struct(F.array(*map(F.lit, mandatory)).alias("mandatory"),
+                         F.array(*map(F.lit, optional)).alias("optional"))
+        config = F.struct(F.lit(fmt).alias("data_source"), lists.alias("list_of_datapoint"))
+        spark.range(1).select(config.alias("config")).coalesce(1).write.json(f"{root}/{fmt}-config")
+        part = read_configured(spark, path, read_config(spark, f"{root}/{fmt}-config"), schema=source.schema)
+        part = part.select(F.lit(fmt).alias("format"), "*")
+        out = part if out is None else out.union(part)
+    return out
+
+
+def q_split_repeated_ids(spark, d):
+    """Exact size although ids repeat: a fifth of the rows of orders by customer."""
+    rows = emp(spark, d).select((F.col("employee_id") % 7).alias("team"), "position")
+    split = S.train_test_split(rows, "team")
+    return split.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_split_label(spark, d):
     features, label = C.split_target(emp(spark, d), "is_active")
     return label
@@ -409,6 +526,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_equals_batch": q_stream_equals_batch,
     "pipeline_check": q_pipeline_check,
     "legacy_check": q_legacy_check,
+    "mlp_forward": q_mlp_forward,
+    "planted_turnover": q_planted_turnover,
+    "planted_accuracy": q_planted_accuracy,
+    "planted_importance": q_planted_importance,
+    "require_complete": q_require_complete,
+    "assemble": q_assemble,
+    "configured_scan": q_configured_scan,
+    "split_repeated_ids": q_split_repeated_ids,
 }
 
 
@@ -640,7 +765,50 @@ select employee_id, is_active, """ + ", ".join(f"round({c}, 6) as {c}" for c in
 SMOTE_COUNTS_SQL = WITH_CUST + ", " + NEIGHBORS_CTE + SMOTE_BODY + """
 select is_active, count(*) as n from allrows group by 1"""
 
+_SIGNAL = f"20 + c_custkey % 45 + c_nationkey >= {SIGNAL_LIMIT}"
+
+
+def _forward_sql() -> str:
+    """The layers of FORWARD_NET, one query around the other."""
+    query = ("select c_custkey as employee_id, [(20 + c_custkey % 45)::double / 64, c_nationkey::double / 25, "
+             "c_acctbal::double / 10000] as x from customer")
+    for k, (w, b) in enumerate(zip(FORWARD_NET.weights, FORWARD_NET.biases)):
+        sums = []
+        for j in range(len(b)):
+            total = " + ".join(f"x[{i + 1}] * ({w[i, j]})::double" for i in range(len(w)))
+            total = f"({total} + ({b[j]})::double)"
+            sums.append(total if k + 1 == len(FORWARD_NET.weights) else f"greatest({total}, 0.0::double)")
+        query = f"select employee_id, [{', '.join(sums)}] as x from ({query})"
+    return (f"select employee_id, round(exp(x[1]) / (exp(x[1]) + exp(x[2])), 9) as p_no, "
+            f"round(exp(x[2]) / (exp(x[1]) + exp(x[2])), 9) as p_yes from ({query})")
+
+
 ORACLE_SQL: dict[str, str] = {
+    "mlp_forward": _forward_sql(),
+    "planted_turnover": f"""
+select c_custkey as emp_identifier, {_SIGNAL} as leaves from customer
+where abs(20 + c_custkey % 45 + c_nationkey - {SIGNAL_LIMIT} + 0.5) >= {SIGNAL_MARGIN}""",
+    "planted_accuracy": """
+select cast(ceil(0.2 * count(*)) as bigint) as n_rows, true as accurate, true as far_apart from customer""",
+    "planted_importance": """
+select 1 as position, 'age' as feature, true as large union all
+select 2, 'total_working_years', true""",
+    "require_complete": WITH_CLEAN + """,
+m as (select cast(sum((age is null)::int + (education is null)::int + (job_satisfaction is null)::int
+  + (monthly_income is null)::int + (employee_id is null)::int) as bigint) as n from cleaned)
+select 'encoded' as stage, n as total_missing, n = 0 as complete from m
+union all select 'imputed', 0, true""",
+    "assemble": """
+select c_custkey as employee_id, 3 as width, cast(20 + c_custkey % 45 as double) as x0,
+  c_acctbal as x1, cast(c_nationkey as double) as x2 from customer""",
+    "configured_scan": WITH_EMP + """
+select format, employee_id, position, is_active, monthly_income, start_date
+from emp, (select unnest(['csv', 'parquet', 'json', 'orc']) as format)""",
+    "split_repeated_ids": """
+select split, n from (
+  select 'test' as split, cast(ceil(0.2 * count(*)) as bigint) as n from orders union all
+  select 'train', count(*) - cast(ceil(0.2 * count(*)) as bigint) from orders)""",
+
     "select_datapoints": WITH_EMP + """
 select employee_id, position, is_active, education, job_satisfaction, monthly_income,
   salary_scale, start_date, department, age, gender, education_field, standard_hours from emp""",

@@ -28,6 +28,7 @@ from turnstile.operators.model import (
     turnover_report,
 )
 from turnstile.operators.neighbors import class_values
+from turnstile.operators.network import fit_relu
 from turnstile.operators.profile import class_counts, high_missing_names, missing_percent, require_complete
 from turnstile.operators.sample import smote, train_test_split
 from turnstile.session import cut_lineage, fit_partitions
@@ -66,7 +67,9 @@ class Settings:
     test_size: float = D.TEST_SIZE
     split_seed: int = D.SPLIT_SEED
     forest: dict = field(default_factory=dict)
+    network: str = "relu"            # or "sigmoid": Spark ML's, by L-BFGS
     mlp_max_iter: int = D.MLP_MAX_ITER
+    count_balanced: bool = True      # class counts after SMOTE, which cost a neighbour search
     use_balanced: bool = False       # parity: balanced rows are only counted
     fit_forest: bool = True          # importances
     fit_network: bool = True         # turnover report and accuracy
@@ -124,8 +127,9 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     split_id = "_orig_id" if "_orig_id" in table.columns else ident
     numeric, categorical = name_lookup(table, cols.numeric), name_lookup(table, cols.categorical)
     split = train_test_split(table, split_id, s.test_size, s.split_seed)
-    # SMOTE on the whole table, as the reference runs it: for its counts.
-    result["balanced_counts"] = class_counts(smote(table, split_id, feature_cols, lab), lab)
+    if s.count_balanced:
+        # SMOTE on the whole table, as the reference runs it: for its counts.
+        result["balanced_counts"] = class_counts(smote(table, split_id, feature_cols, lab), lab)
     train_rows = split.where(F.col("split") == "train")
     if s.use_balanced:
         # Only the train part; synthetic rows are in no report.
@@ -152,7 +156,10 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
             test = prepared.where(F.col("split") == "test")
             train = (feature_model.transform(train_rows, keep=[lab]) if s.use_balanced
                      else prepared.where(F.col("split") == "train")).persist()
-            mlp = fit_mlp(train, "features", lab, n_inputs=len(flat), max_iter=s.mlp_max_iter)
+            if s.network == "relu":
+                mlp = fit_relu(train, "features", lab, n_inputs=len(flat), passes=s.mlp_max_iter)
+            else:
+                mlp = fit_mlp(train, "features", lab, n_inputs=len(flat), max_iter=s.mlp_max_iter)
             train.unpersist()
             result["turnover"] = turnover_report(mlp, prepared, report_id)
             result["accuracy"] = evaluate_accuracy(mlp, test, lab)
