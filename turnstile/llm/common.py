@@ -81,7 +81,9 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str,
 
 def free(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of what nothing refers to any
-    more: it learns of them when the driver collects garbage."""
+    more: it learns of them when the driver collects garbage.  The session keeps
+    its last job, so there is a small one first."""
+    spark.range(1).count()
     gc.collect()
     spark._jvm.System.gc()
 

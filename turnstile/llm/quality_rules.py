@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from turnstile.llm.common import lookup, require, written
+from turnstile.session import maybe_broadcast
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -150,11 +151,19 @@ def quality_report(docs: DataFrame, host: str = "source") -> DataFrame:
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     """``docs`` without the rejected documents, all its columns and no more.
     The columns travel in one struct, so their names can't clash.  Texts are
-    measured once; those that fail by themselves aren't written again."""
+    measured once; those that fail are known again by hash and length."""
     require(docs, ["text", host])
-    measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
-                           F.col(host).alias("source"), measure(F.col("text")).alias("_measures"))
-    fails = failures(F.col("_measures"))["base"]
-    table = written(measured.select(
-        "source", "_measures", F.when(~fails, F.col("_doc")).alias("_doc")), "measured")
-    return judged(table).where("_kept").select("_doc.*")
+    key = [F.xxhash64("text").alias("_hash"), F.octet_length("text").alias("_bytes")]
+    slim = written(docs.select(*key, F.col(host).alias("host"), measure("text").alias("_measures")), "measures")
+    fail = failures(F.col("_measures"))
+    hosts = host_verdicts(slim.select("host", *[c.alias(r) for r, c in fail.items()]))
+    bad_hosts = written(hosts.where("rejected").select(F.col("host").alias("_bad_host"), F.lit(True).alias("_bad")),
+                        "hosts")
+    bad = written(slim.where(fail["base"]).select(
+        F.col("_hash").alias("_bad_hash"), F.col("_bytes").alias("_bad_bytes")).distinct(), "failed")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *key,
+                       F.col(host).alias("_host"))
+    kept = rows.join(maybe_broadcast(bad), (F.col("_hash") == F.col("_bad_hash"))
+                     & F.col("_bytes").eqNullSafe(F.col("_bad_bytes")), "left_anti")
+    return kept.join(maybe_broadcast(bad_hosts), F.col("_host").eqNullSafe(F.col("_bad_host")),
+                     "left_anti").select("_doc.*")
