@@ -46,11 +46,15 @@ ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
 RUN_CHARS = string.ascii_letters + string.digits + "+/_.=:\"'%\\{}- \t\r\n"
 RUN = re.compile(f"[{re.escape(RUN_CHARS)}]+")
 URL_BYTE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+FORM_PART = re.compile(r"\+|(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
 BASE64_MIN = 16
 BASE64_RUN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{BASE64_MIN},}}={{0,2}}")
 BASE64_MORE = re.compile(r"(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+BASE64_SEPARATOR = re.compile(r"[/+_-]")
+# What gzip and zlib data begin with in base64.
+GZIP_LETTERS, ZLIB_LETTERS = re.compile("H4sI"), ("eA", "eF", "eJ", "eN")
 GZIP, ZLIB = b"\x1f\x8b", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
 BASE64_CHARS = string.ascii_letters + string.digits + "+/_-\r\n"
 BASE64_WRAPPED = re.compile(r"[A-Za-z0-9+/_\r\n-]*")
@@ -134,13 +138,28 @@ def _unbase64(run: str) -> bytes:
     return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
 
 
+def _alignments(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Where base64 may begin in a run of its letters, since letters of something
+    else may stand before it: of each of the four ways to group letters by four,
+    the first place behind a separator that is grouped so, or else the first place
+    at all (what stands before the data becomes noise); and where compressed data
+    seems to begin, which can't be read from anywhere else."""
+    begins = {0: start}
+    places = [m.end() for m in BASE64_SEPARATOR.finditer(text, start, end - BASE64_MIN)]
+    for at in [*places, *range(start, start + 4)]:
+        begins.setdefault((at - start) % 4, at)
+    packed = {m.start() for m in GZIP_LETTERS.finditer(text, start, end)}
+    packed |= {at for at in places if text[at:at + 2] in ZLIB_LETTERS}
+    yield from ((at, end) for at in sorted({*begins.values(), *packed}) if end - at >= BASE64_MIN)
+
+
 def _base64_runs(text: str) -> Iterator[tuple[int, int]]:
     """Spans that may be base64: runs within a line, and runs wrapped over
     lines.  A wrapped run is a block of lines of equal length, the next line
     (its short end) and maybe the line before (begun behind a name)."""
     joined = 0
     for m in BASE64_RUN.finditer(text):
-        yield m.span()
+        yield from _alignments(text, *m.span())
         more = BASE64_MORE.match(text, m.end()) if m.start() >= joined and m[0][-1] != "=" else None
         if more is None:
             continue
@@ -265,7 +284,17 @@ def _unicode_escapes(text: str, start: int, end: int) -> Iterator[tuple[int, int
             yield e.start(), e.end(), chr(code)
 
 
-ESCAPES = (("%", _url_escapes), ("\\", _unicode_escapes))
+def _form_escapes(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """As in a form: ``+`` is a space, too."""
+    for e in FORM_PART.finditer(text, start, end):
+        if e[0] == "+":
+            yield *e.span(), " "
+        else:
+            yield from _url_escapes(text, *e.span())
+
+
+# The signs that a run must have for a way to decode it in place.
+ESCAPES = (("%", _url_escapes), ("\\", _unicode_escapes), ("%+", _form_escapes))
 
 
 def _mark(text: str) -> str | bytes:
@@ -308,10 +337,10 @@ def scan(text: str | None) -> tuple[list, list, int]:
         if not layer.text or not new("layer", layer.text, layer.origin(0, len(layer.text))):
             continue
         every.update((*layer.origin(a, b), kind) for a, b, kind in find(layer.text))
-        for sign, escapes in ESCAPES:
-            if sign in layer.text:
+        for signs, escapes in ESCAPES:
+            if all(sign in layer.text for sign in signs):
                 for m in RUN.finditer(layer.text):
-                    if sign in m[0]:
+                    if all(sign in m[0] for sign in signs):
                         decoded = _in_place(layer, *m.span(), escapes(layer.text, *m.span()))
                         if decoded is not None:
                             work.append(decoded)
