@@ -201,3 +201,35 @@ def test_exact_split_with_more_equal_ids_than_are_sorted(spark, monkeypatch):
     different = different.toDF("id", "v")
     a, b = (S.train_test_split(different.repartition(k), "id").where("split = 'test'") for k in (3, 8))
     assert {r.v for r in a.collect()} == {r.v for r in b.collect()} and a.count() == 600
+
+
+def test_local_tree_equals_comparing_all():
+    import numpy as np
+
+    from turnstile.operators import neighbors as NB
+
+    rnd = np.random.default_rng(7)
+    for points in (rnd.normal(size=(1500, 3)), rnd.integers(0, 6, (1200, 4)).astype(float),
+                   np.repeat(rnd.normal(size=(400, 2)), 3, axis=0)):
+        ids = np.arange(len(points)) * 3 + 1
+        some = rnd.integers(0, len(points), 300)
+        got = NB.nearest(points[some], ids[some], points, ids)
+        want = NB.nearest_of_all(points[some], ids[some], points, ids)
+        assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+
+
+def test_work_per_query_does_not_grow_with_the_leaf(monkeypatch):
+    import numpy as np
+
+    from turnstile.operators import neighbors as NB
+
+    plain, work = NB.nearest_of_all, []
+    monkeypatch.setattr(NB, "nearest_of_all",
+                        lambda q, qi, p, pi: (work.append(len(q) * len(p)), plain(q, qi, p, pi))[1])
+    per_query = []
+    for n in (2_000, 32_000):
+        work.clear()
+        x = np.random.default_rng(n).normal(size=(n, 3))
+        NB.nearest(x, np.arange(n), x, np.arange(n))
+        per_query.append(sum(work) / n)
+    assert per_query[1] < 1.5 * per_query[0] < 2_000

@@ -4,7 +4,9 @@ The distinct points of a class are divided into leaves by a k-d tree whose
 medians come from a bounded sample; every leaf's bounding box is then taken
 from all its points.  A query first searches its own leaf, which gives it a
 distance; after that only leaves whose box reaches into that distance can hold
-anything nearer, and each of them is searched once.  Boxes adapt to features of
+anything nearer, and each of them is searched once.  The number of leaves is
+bounded, so they grow with the data; a task therefore searches its points by a
+k-d tree of its own.  Boxes adapt to features of
 any scale, and a leaf that very many queries visit is searched in several
 tasks, so no task holds an unbounded group.
 
@@ -14,6 +16,7 @@ bounded by parameters.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,6 +33,8 @@ MAX_LEAVES = 32_768
 # Sampled points per leaf, from which the medians are taken.
 SAMPLE_PER_LEAF = 8
 MAX_CLASSES = 1_000
+# Points per leaf of the tree that a task makes of its points.
+LOCAL_POINTS = 64
 # Queries that search one leaf in one task.
 VISITS_PER_TASK = 20_000
 # Pairs whose distances are in memory at a time.
@@ -108,7 +113,41 @@ def nearest(q: np.ndarray, q_ids: np.ndarray, p: np.ndarray, p_ids: np.ndarray
             ) -> tuple[np.ndarray, np.ndarray]:
     """(squared distance, position in ``p``) of the nearest other point; equal
     distances go to the smaller id, in whose order ``p`` comes.  Infinity and
-    -1 where there is none."""
+    -1 where there is none.  Many points are searched by a tree of their own, so
+    that the work for a query doesn't grow with the leaf it is in."""
+    if len(p) <= 4 * LOCAL_POINTS:
+        return nearest_of_all(q, q_ids, p, p_ids)
+    tree = Tree(p, math.ceil(len(p) / LOCAL_POINTS))
+    sides = _by_leaf(tree.leaf_of(p))
+    boxes = Boxes({k: (p[rows].min(axis=0), p[rows].max(axis=0)) for k, rows in sides.items()})
+    best, where = np.full(len(q), np.inf), np.full(len(q), -1)
+
+    def search(rows: np.ndarray, leaf: int) -> None:
+        side = sides[leaf]
+        d2, at = nearest_of_all(q[rows], q_ids[rows], p[side], p_ids[side])
+        place = side[at]
+        better = (at >= 0) & ((d2 < best[rows]) | ((d2 == best[rows]) & (place < where[rows])))
+        best[rows[better]], where[rows[better]] = d2[better], place[better]
+
+    home = tree.leaf_of(q)
+    for leaf, rows in _by_leaf(home).items():
+        if leaf in sides:
+            search(rows, leaf)
+    for leaf, rows in list(boxes.reached(q, best.copy(), -1)):
+        search(rows[home[rows] != leaf], leaf)
+    return best, where
+
+
+def _by_leaf(leaf: np.ndarray) -> dict[int, np.ndarray]:
+    """The rows of every leaf, in ascending order."""
+    order = np.argsort(leaf, kind="stable")
+    cuts = np.nonzero(np.diff(leaf[order]))[0] + 1
+    return {int(leaf[rows[0]]): rows for rows in np.split(order, cuts) if len(rows)}
+
+
+def nearest_of_all(q: np.ndarray, q_ids: np.ndarray, p: np.ndarray, p_ids: np.ndarray
+                   ) -> tuple[np.ndarray, np.ndarray]:
+    """As ``nearest``, by comparing all."""
     best, where = np.full(len(q), np.inf), np.full(len(q), -1)
     if not len(p):
         return best, where
