@@ -8,8 +8,9 @@ one piece per window it touches.  Only the last sequence is padded.  No row is
 shuffled in either pass.
 
 Defined cases: null or empty text: the end id alone; null doc_id: kept as null;
-repeated rows: packed once each; empty table: no pieces; other columns are
-ignored.
+repeated rows: packed once each; empty table: no pieces; other columns, whatever
+their names, are ignored; a very long text is encoded whole, its ids are one row
+until they are cut.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ documents.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Defined cases: a null text has no words;
 documents with a null host are one host; repeated rows count once each; an
-empty table gives an empty result.
+empty table gives an empty result; a very long text is measured whole, in memory
+linear in its words; other columns are ignored by the report and kept by
+``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
