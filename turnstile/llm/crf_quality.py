@@ -12,7 +12,8 @@ TRAIN_DOCS rows with the smallest hash, whole.  Everything else covers all rows.
 Defined cases: a null or empty text is one empty line; a document labelled
 twice is used twice; rows without a label or id don't train; with no label, or
 only one, every score is that label's share, or 0.5; repeated rows get equal
-scores; an empty table gives an empty result; other columns are ignored.
+scores; an empty table gives an empty result; a very long text is scored
+whole, in memory linear in its lines; other columns are ignored.
 """
 
 from __future__ import annotations

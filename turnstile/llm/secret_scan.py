@@ -9,7 +9,8 @@ layer is reported at the original span of the run that hid it.
 
 Spans are in code points, end exclusive.  Defined cases: a null or empty text
 has no spans; repeated rows are scanned alike; nothing depends on other rows; an
-empty table gives an empty result; other columns are ignored.  Decoded data over
+empty table gives an empty result; other columns are ignored; a very long text is
+scanned whole.  Decoded data over
 INFLATE_MAX bytes is scanned and unwrapped block by block, in bounded memory;
 ``overflow`` counts such runs, whose cost is out of proportion.
 """

@@ -24,7 +24,9 @@ other; a text with fewer words than a shingle is one shingle; repeated rows
 belong to one component; an empty table gives an empty result; of a group the
 smallest doc_id stays (a null id only if the group has no other); if several
 rows share that id the text with the smallest hash, and of rows with equal id
-and text one of them.
+and text one of them; a very long text is fingerprinted whole, its shingles' bits
+block by block; other columns, whatever their names, are kept.  Large buckets are
+linked without pairs for ``max_bits`` of two only.
 """
 
 from __future__ import annotations

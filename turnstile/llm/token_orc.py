@@ -8,7 +8,7 @@ file, stripe and row-group statistics prune reads by id.
 Defined cases: null or empty text: the end id alone; null doc_id: first in the
 order; repeated doc_ids: ordered among themselves by text, so a retried task
 writes the same file; empty table: an empty file set and result; other columns
-are ignored.
+are ignored; a very long text is encoded whole and is one row of its stripe.
 """
 
 from __future__ import annotations
