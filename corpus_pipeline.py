@@ -2,6 +2,12 @@
 
 Every stage takes all that its predecessor kept, and is written as Parquet and
 read again before the next.  All but the last return the columns of documents.
+
+Defined cases, of every stage: null or empty texts are documents without words or
+lines (the rules reject them); very long texts are taken whole; a null doc_id is
+an id of its own, ordered last; rows equal in id and text are treated alike, and
+one of them stays in the SimHash stage; an empty table gives an empty result; other
+columns are kept, whatever their names, up to packing, which ignores them.
 """
 
 from __future__ import annotations
