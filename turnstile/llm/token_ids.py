@@ -42,17 +42,10 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(extra)) for b in range(256)]
 
 
-# Chunks of several texts that are looked up together.
-CHUNKS_AT_ONCE = 200_000
-
-
 class TokenIds:
     """Encoder for one tokenizer file.  ``keeps_space``: white space is part of
     the pieces (byte-level); else it is dropped and letters are lower-cased.
-
-    At most about ``remember`` chunks are kept in memory, in two generations: a
-    chunk met again moves to the younger, and when that is half of all, the older
-    is forgotten.  So frequent chunks stay."""
+    At most ``remember`` chunks are kept in memory."""
 
     def __init__(self, path: str, keeps_space: bool, remember: int = 600_000, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,22 +67,13 @@ class TokenIds:
             lambda text: WITHOUT_SPACE.findall(text.lower() if text.isascii() else text))
         self.lower = not keeps_space
         self.letters = dict(enumerate(_byte_letters()))
-        self.older: dict[str | bytes, bytes] = {}
-        self.known: dict[str | bytes, bytes] = {i: i for i in self.own.values()}
+        self.known: dict[str | bytes, bytes] = {}
+        self._forget()
         self.remember = remember
 
-    def _know(self, chunks: set[str | bytes]) -> None:
-        """Put what is missing of ``chunks`` into the younger generation."""
-        missing = chunks.difference(self.known)
-        if len(self.known) + len(missing) > self.remember // 2:
-            self.older, self.known = self.known, {i: i for i in self.own.values()}
-            missing = chunks.difference(self.known)
-        if self.older:
-            met = missing.intersection(self.older)
-            self.known.update(zip(met, map(self.older.__getitem__, met)))
-            missing -= met
-        if missing:
-            self._learn(list(missing))
+    def _forget(self) -> None:
+        self.known.clear()
+        self.known.update((i, i) for i in self.own.values())
 
     def _chunks(self, text: str) -> list[str | bytes]:
         if not any(s in text for s in self.own):
@@ -118,17 +102,16 @@ class TokenIds:
         on = gc.isenabled()
         gc.disable()  # nothing here makes cycles
         try:
-            out: list[bytes] = []
-            held: list[list[str | bytes]] = []
-            size = 0
-            for k, t in enumerate(texts, 1):
-                held.append(self._chunks(t) if t else [])
-                size += len(held[-1])
-                if size >= CHUNKS_AT_ONCE or k == len(texts):
-                    self._know(set().union(*held))
-                    get = self.known.__getitem__
-                    out += [b"".join(map(get, chunks)) for chunks in held]
-                    held, size = [], 0
+            out, known = [], self.known
+            for t in texts:
+                chunks = self._chunks(t) if t else []
+                new = set(chunks).difference(known)
+                if new:
+                    if len(known) + len(new) > self.remember:
+                        self._forget()
+                        new = set(chunks).difference(known)
+                    self._learn(list(new))
+                out.append(b"".join(map(known.__getitem__, chunks)))
             return out
         finally:
             if on:
