@@ -77,6 +77,39 @@ def test_neighbors_exact_against_brute_force(spark, leaf_points):
     assert {r.id: r.neighbor_id for r in got} == _brute_nn(rows)
 
 
+@pytest.mark.parametrize("leaf_points, k", [(2, 3), (10, 5), (512, 4)])
+def test_k_neighbors_exact_against_brute_force(spark, leaf_points, k):
+    rows = _random_rows(4)
+    # A point with far more rows than k, and a class of two.
+    rows += [(1000 - i, "a", 1.0, 2.0, 3.0, 4.0) for i in range(40)]
+    rows += [(2000, "two", 0.0, 0.0, 0.0, 0.0), (2001, "two", 1.0, 0.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "id bigint, cls string, x0 double, x1 double, x2 double, x3 double")
+    got = S.smote_neighbors(df, "id", ["x0", "x1", "x2", "x3"], "cls", leaf_points=leaf_points, k=k)
+    assert got.columns == ["id", "cls", "rank", "neighbor_id", "distance"]
+    want = set()
+    for r in rows:
+        near = sorted((sum((a - b) ** 2 for a, b in zip(r[2:], o[2:])), o[0])
+                      for o in rows if o[1] == r[1] and o[0] != r[0])[:k]
+        want |= {(r[0], n + 1, o) for n, (_, o) in enumerate(near)} or {(r[0], 1, None)}
+    got = got.collect()
+    assert {(r.id, r.rank, r.neighbor_id) for r in got} == want and len(got) == len(want)
+
+
+def test_k_nearest_by_tree_equals_comparing_all():
+    import numpy as np
+
+    from turnstile.operators import neighbors as NB
+
+    rnd = np.random.default_rng(8)
+    for points in (rnd.normal(size=(1500, 3)), rnd.integers(0, 6, (1200, 4)).astype(float)):
+        ids = np.arange(len(points)) * 3 + 1
+        some = rnd.integers(0, len(points), 300)
+        for k in (1, 2, 7):
+            got = NB.k_nearest(points[some], ids[some], points, ids, k)
+            want = NB.k_nearest_of_all(points[some], ids[some], points, ids, k)
+            assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+
+
 def test_smote_counts_and_segments(spark):
     rows = [(i, "Yes" if i % 4 else "No", float(i), float(i % 3)) for i in range(1, 23)]
     rows += [(100, "Maybe", 0.0, 0.0), (101, "Maybe", 1.0, 1.0)]

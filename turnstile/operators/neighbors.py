@@ -1,4 +1,4 @@
-"""Exact nearest neighbour within a class, without comparing all pairs (M8).
+"""Exact nearest neighbours within a class, without comparing all pairs (M8).
 
 The distinct points of a class are divided into leaves by a k-d tree whose
 medians come from a bounded sample; every leaf's bounding box is then taken
@@ -6,7 +6,9 @@ from all its points.  A query first searches its own leaf, which gives it a
 distance; after that only leaves whose box reaches into that distance can hold
 anything nearer, and each of them is searched once.  The number of leaves is
 bounded, so they grow with the data; a task therefore searches its points by a
-k-d tree of its own.  Boxes adapt to features of
+k-d tree of its own.  For k neighbours the distance is that of the k-th, and the
+lists of all leaves are merged by a ranking that keeps k rows in every task
+before the shuffle.  Boxes adapt to features of
 any scale, and a leaf that very many queries visit is searched in several
 tasks, so no task holds an unbounded group.
 
@@ -21,7 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,6 +168,59 @@ def nearest_of_all(q: np.ndarray, q_ids: np.ndarray, p: np.ndarray, p_ids: np.nd
     return best, where
 
 
+def k_nearest(q: np.ndarray, q_ids: np.ndarray, p: np.ndarray, p_ids: np.ndarray, k: int
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """As ``nearest``, with a row of the k nearest per query, nearest first."""
+    if k == 1:
+        d2, at = nearest(q, q_ids, p, p_ids)
+        return d2[:, None], at[:, None]
+    size = max(LOCAL_POINTS, 4 * k)  # a leaf should hold k other points
+    if len(p) <= 4 * size:
+        return k_nearest_of_all(q, q_ids, p, p_ids, k)
+    tree = Tree(p, math.ceil(len(p) / size))
+    sides = _by_leaf(tree.leaf_of(p))
+    boxes = Boxes({n: (p[rows].min(axis=0), p[rows].max(axis=0)) for n, rows in sides.items()})
+    best, where = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
+
+    def search(rows: np.ndarray, leaf: int) -> None:
+        side = sides[leaf]
+        d2, at = k_nearest_of_all(q[rows], q_ids[rows], p[side], p_ids[side], k)
+        d2 = np.hstack([best[rows], d2])
+        place = np.hstack([where[rows], np.where(at >= 0, side[at], -1)])
+        order = np.lexsort((place, d2), axis=-1)[:, :k]
+        best[rows] = np.take_along_axis(d2, order, axis=1)
+        where[rows] = np.take_along_axis(place, order, axis=1)
+
+    home = tree.leaf_of(q)
+    for leaf, rows in _by_leaf(home).items():
+        if leaf in sides:
+            search(rows, leaf)
+    for leaf, rows in list(boxes.reached(q, best[:, -1].copy(), -1)):
+        search(rows[home[rows] != leaf], leaf)
+    return best, where
+
+
+def k_nearest_of_all(q: np.ndarray, q_ids: np.ndarray, p: np.ndarray, p_ids: np.ndarray, k: int
+                     ) -> tuple[np.ndarray, np.ndarray]:
+    """As ``k_nearest``, by comparing all."""
+    best, where = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
+    if not len(p):
+        return best, where
+    step, m = max(1, BLOCK_PAIRS // len(p)), min(k, len(p))
+    for i in range(0, len(q), step):
+        block = q[i:i + step]
+        d2 = np.zeros((len(block), len(p)))
+        for a in range(q.shape[1]):  # in the order of the features, as a plain sum
+            diff = block[:, a, None] - p[None, :, a]
+            d2 += diff * diff
+        d2[q_ids[i:i + step, None] == p_ids[None, :]] = np.inf
+        at = np.argsort(d2, axis=1, kind="stable")[:, :m]
+        found = np.take_along_axis(d2, at, axis=1)
+        best[i:i + step, :m] = found
+        where[i:i + step, :m] = np.where(np.isfinite(found), at, -1)
+    return best, where
+
+
 def class_values(df: DataFrame, cls: str) -> list:
     """The class values, after a check of their number."""
     rows = df.select(cls).where(F.col(cls).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
@@ -175,10 +230,10 @@ def class_values(df: DataFrame, cls: str) -> list:
 
 
 def nearest_points(points: DataFrame, id_col: str, cls: str, xs: Sequence[str],
-                   leaf_points: int = LEAF_POINTS) -> DataFrame:
+                   leaf_points: int = LEAF_POINTS, k: int = 1) -> DataFrame:
     """``(id, class, _nn, _d2)``: for every row of ``points`` (distinct points
-    with distinct ids) the nearest other one of its class; null if there is
-    none."""
+    with distinct ids) the k nearest others of its class (all, if fewer), a row
+    for each; one row with nulls if there is none."""
     schema = points.schema
     out_schema = T.StructType([T.StructField("_id", schema[id_col].dataType),
                                T.StructField("_cls", schema[cls].dataType),
@@ -188,16 +243,16 @@ def nearest_points(points: DataFrame, id_col: str, cls: str, xs: Sequence[str],
                         F.array(*[F.col(x) for x in xs]).alias("_x")).where(F.col("_cls").isNotNull())
     values = class_values(pts, "_cls")
     counts = {r[0]: r[1] for r in pts.groupBy("_cls").agg(F.count(F.lit(1))).collect()}
-    number = {v: k for k, v in enumerate(values)}
+    number = {v: n for n, v in enumerate(values)}
     trees = _trees(pts, values, counts, leaf_points)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = np.vstack(b["_x"].to_numpy()) if len(b) else np.empty((0, len(xs)))
             leaf, part = np.zeros(len(b), np.int64), b["_cls"].map(number).to_numpy()
-            for k in np.unique(part):
-                rows = np.nonzero(part == k)[0]
-                leaf[rows] = trees[k].leaf_of(x[rows])
+            for n in np.unique(part):
+                rows = np.nonzero(part == n)[0]
+                leaf[rows] = trees[n].leaf_of(x[rows])
             b["_part"], b["_leaf"] = part.astype(np.int32), leaf
             yield b
 
@@ -205,31 +260,31 @@ def nearest_points(points: DataFrame, id_col: str, cls: str, xs: Sequence[str],
                                   T.StructField("_leaf", T.LongType())])
     placed = cut_lineage(pts.mapInPandas(assign, placed_schema))
     # One row per leaf; their number is bounded by MAX_LEAVES.
-    found = placed.groupBy("_part", "_leaf").agg(
+    corners = placed.groupBy("_part", "_leaf").agg(
         *[F.min(F.col("_x")[a]).alias(f"l{a}") for a in range(len(xs))],
         *[F.max(F.col("_x")[a]).alias(f"h{a}") for a in range(len(xs))]).collect()
     by_part: dict[int, dict] = {}
-    for r in found:
+    for r in corners:
         low, high = (np.array([r[f"{s}{a}"] for a in range(len(xs))]) for s in "lh")
         by_part.setdefault(r["_part"], {})[r["_leaf"]] = (low, high)
-    boxes = points.sparkSession.sparkContext.broadcast({k: Boxes(v) for k, v in by_part.items()})
+    boxes = points.sparkSession.sparkContext.broadcast({part: Boxes(v) for part, v in by_part.items()})
 
     def at_home(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_id", ignore_index=True)
         x, ids = np.vstack(group["_x"].to_numpy()), group["_id"].to_numpy()
-        d2, at = nearest(x, ids, x, ids)
-        group["_d2"] = np.where(at >= 0, d2, np.inf)
-        group["_nn"] = [ids[k] if k >= 0 else None for k in at]
+        d2, at = k_nearest(x, ids, x, ids, k)
+        group["_d2"] = [d[a >= 0] for d, a in zip(d2, at)]
+        group["_nn"] = [ids[a[a >= 0]] for a in at]
         box, own = boxes.value[group["_part"].iloc[0]], group["_leaf"].iloc[0]
         targets: list[list[int]] = [[] for _ in range(len(group))]
-        for leaf, rows in box.reached(x, d2, own):
+        for leaf, rows in box.reached(x, d2[:, -1], own):
             for r in rows:
                 targets[r].append(leaf)
         group["_visit"] = targets
         return group
 
-    home_schema = T.StructType([*placed_schema.fields, T.StructField("_d2", T.DoubleType()),
-                                T.StructField("_nn", schema[id_col].dataType),
+    home_schema = T.StructType([*placed_schema.fields, T.StructField("_d2", T.ArrayType(T.DoubleType())),
+                                T.StructField("_nn", T.ArrayType(schema[id_col].dataType)),
                                 T.StructField("_visit", T.ArrayType(T.LongType()))])
     home = cut_lineage(placed.groupBy("_part", "_leaf").applyInPandas(at_home, home_schema))
     visits = home.select("_part", F.explode("_visit").alias("_leaf"), "_id", "_x")
@@ -246,17 +301,24 @@ def nearest_points(points: DataFrame, id_col: str, cls: str, xs: Sequence[str],
             return pd.DataFrame({"_id": [], "_d2": [], "_nn": []})
         side = side.sort_values("_id", ignore_index=True)
         ids = side["_id"].to_numpy()
-        d2, at = nearest(np.vstack(queries["_x"].to_numpy()), queries["_id"].to_numpy(),
-                         np.vstack(side["_x"].to_numpy()), ids)
-        return pd.DataFrame({"_id": queries["_id"], "_d2": d2, "_nn": ids[at]})
+        d2, at = k_nearest(np.vstack(queries["_x"].to_numpy()), queries["_id"].to_numpy(),
+                           np.vstack(side["_x"].to_numpy()), ids, k)
+        row, place = np.nonzero(at >= 0)
+        return pd.DataFrame({"_id": queries["_id"].to_numpy()[row], "_d2": d2[row, place],
+                             "_nn": ids[at[row, place]]})
 
     key = ["_part", "_leaf", "_task"]
     more = asked.groupBy(*key).cogroup(sides.groupBy(*key)).applyInPandas(
         abroad, T.StructType([out_schema["_id"], out_schema["_d2"], out_schema["_nn"]]))
-    best = more.unionByName(home.select("_id", "_d2", "_nn")).where(F.col("_nn").isNotNull()).groupBy(
-        "_id").agg(F.min(F.struct("_d2", "_nn")).alias("_b"))
-    return home.select("_id", "_cls").join(best, "_id", "left").select(
-        "_id", "_cls", F.col("_b._nn").alias("_nn"), F.col("_b._d2").alias("_d2"))
+    near = F.arrays_zip("_d2", "_nn")
+    at_home_found = home.select("_id", F.explode(near).alias("_n")).select("_id", "_n._d2", "_n._nn")
+    found = more.unionByName(at_home_found)
+    if k == 1:
+        best = found.groupBy("_id").agg(F.min(F.struct("_d2", "_nn")).alias("_b")).select("_id", "_b.*")
+    else:
+        rank = F.row_number().over(Window.partitionBy("_id").orderBy("_d2", "_nn"))
+        best = found.withColumn("_rank", rank).where(F.col("_rank") <= k)
+    return home.select("_id", "_cls").join(best, "_id", "left").select("_id", "_cls", "_nn", "_d2")
 
 
 def _trees(pts: DataFrame, values: list, counts: dict, leaf_points: int) -> list[Tree]:

@@ -151,12 +151,16 @@ def _first_rows(df: DataFrame, key: Column, tie: str, k: Callable[[int], int]) -
 
 def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label: str,
                     classes: Sequence | None = None,
-                    leaf_points: int = LEAF_POINTS) -> DataFrame:
+                    leaf_points: int = LEAF_POINTS, k: int = D.SMOTE_K) -> DataFrame:
     """``(id, label, neighbor_id, distance)``: nearest other row of the same
     class by Euclidean distance on the raw features, ties → smaller id.
 
-    Exact.  Rows whose class has a single member get a null neighbour.
+    Exact.  Rows whose class has a single member get a null neighbour.  With
+    ``k`` over 1 a row for each of the k nearest (all, if fewer) and their
+    ``rank`` from 1 before the last column.
     """
+    if k < 1:
+        raise ValueError("k must be at least 1")
     i, lab = name_lookup(df, [id_col, label])
     feats = name_lookup(df, features)
     pts = df.select(F.col(i).alias("_id"), F.col(lab).alias("_cls"),
@@ -172,6 +176,10 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
                                                     F.count(F.lit(1)).alias("_cnt")))
     dup_keys = data.where(F.col("_cnt") > 1).select("_cls", *xs, F.col("_id").alias("_m1"))
     dup_rows = pts.join(maybe_broadcast(dup_keys), ["_cls", *xs])
+    if k > 1:
+        found = _rows_of_points(data, dup_rows, nearest_points(data, "_id", "_cls", xs, leaf_points, k), k)
+        return found.select(F.col("_id").alias(i), F.col("_cls").alias(lab), "rank",
+                            F.col("_nn").alias("neighbor_id"), F.sqrt(F.col("_d2")).alias("distance"))
     second = cut_lineage(dup_rows.where(F.col("_id") != F.col("_m1"))
                          .groupBy("_cls", *xs).agg(F.min("_id").alias("_m2")))
     dup_nn = (dup_rows.join(maybe_broadcast(second), ["_cls", *xs])
@@ -187,12 +195,41 @@ def smote_neighbors(df: DataFrame, id_col: str, features: Sequence[str], label:
         F.sqrt(F.col("_d2")).alias("distance"))
 
 
+def _rows_of_points(data: DataFrame, dup_rows: DataFrame, near: DataFrame, k: int) -> DataFrame:
+    """(_id, _cls, rank, _nn, _d2) of the k nearest rows from the k nearest points.
+
+    ``data`` has a row per distinct point under the smallest id of its rows,
+    ``dup_rows`` the rows of points with several (``_m1``: that id), ``near`` the k
+    nearest other points of each.  The k nearest rows are among the first k + 1
+    rows of the point itself (one of them may be the row that asks) and the first
+    k of each near point, so no more of a hot point is ever gathered.
+    """
+    place = F.row_number().over(Window.partitionBy("_m1").orderBy("_id"))
+    members = cut_lineage(dup_rows.select("_m1", "_id").withColumn("_place", place)
+                          .where(F.col("_place") <= k + 1))
+    others = near.where(F.col("_nn").isNotNull()).join(
+        maybe_broadcast(members.select(F.col("_m1").alias("_nn"), F.col("_id").alias("_member"))), "_nn", "left")
+    cands = others.select(F.col("_id").alias("_m1"), "_d2", F.coalesce("_member", "_nn").alias("_nn")).unionByName(
+        members.select("_m1", F.lit(0.0).alias("_d2"), F.col("_id").alias("_nn")))
+    best = F.row_number().over(Window.partitionBy("_m1").orderBy("_d2", "_nn"))
+    cands = (cands.withColumn("_place", best).where(F.col("_place") <= k + 1)
+             .groupBy("_m1").agg(F.array_sort(F.collect_list(F.struct("_d2", "_nn"))).alias("_cands")))
+    single = data.where(F.col("_cnt") == 1).select("_id", "_cls", F.col("_id").alias("_m1")).join(cands, "_m1", "left")
+    dup_cands = cut_lineage(cands.join(maybe_broadcast(members.select("_m1").distinct()), "_m1", "left_semi"))
+    repeated = dup_rows.select("_id", "_cls", "_m1").join(maybe_broadcast(dup_cands), "_m1")
+    rows = single.select("_id", "_cls", "_cands").unionByName(repeated.select("_id", "_cls", "_cands"))
+    other = F.slice(F.filter("_cands", lambda c: c["_nn"] != F.col("_id")), 1, k)
+    return rows.select("_id", "_cls", F.posexplode_outer(other).alias("_at", "_c")).select(
+        "_id", "_cls", (F.coalesce("_at", F.lit(0)) + 1).alias("rank"), "_c._nn", "_c._d2")
+
+
 # ---------------------------------------------------------------------------
 # M8: SMOTE
 # ---------------------------------------------------------------------------
 
 def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str,
-          seed: int = D.SMOTE_SEED, neighbors: DataFrame | None = None) -> DataFrame:
+          seed: int = D.SMOTE_SEED, neighbors: DataFrame | None = None,
+          k: int = D.SMOTE_K) -> DataFrame:
     """Raise every class below the majority count to it with synthetic rows
     ``x + u·(nn − x)``, ``u = md5(id|copy|seed)`` mapped to [0, 1).
 
@@ -200,7 +237,9 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str,
     ``(M − n) div n`` copies and the first ``(M − n) mod n`` rows by
     ``md5(id|seed)`` give one more.  Output: the original rows plus the
     synthetic ones, with ``is_synthetic`` and ``copy_index`` (null for
-    originals).  A class with one member cannot be raised (error).
+    originals).  A class with one member cannot be raised (error).  With ``k``
+    over 1 a copy's partner is one of the row's k nearest (all, if fewer),
+    drawn by the md5 of id, copy and ``seed + 1``.
     """
     i, lab = name_lookup(df, [id_col, label])
     feats = name_lookup(df, features)
@@ -234,7 +273,7 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str,
         copies = F.when(F.col("_scls") == F.lit(c), F.lit(q).cast("bigint") + extra).otherwise(copies)
 
     raised = base.where(F.col("_scls").isin(list(need)))
-    nn = neighbors if neighbors is not None else smote_neighbors(raised, "_sid", xs, "_scls")
+    nn = neighbors if neighbors is not None else smote_neighbors(raised, "_sid", xs, "_scls", k=k)
     rows = raised.select("*", copies.alias("_copies"))
     rows = rows.where(F.col("_copies") > 0)
     chunks = F.sequence(F.lit(0).cast("bigint"),
@@ -248,7 +287,16 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str,
 
     partner = raised.select(F.col("_sid").alias("_nid"), *[F.col(x).alias(f"_n{x}") for x in xs])
     nnk = nn.select(F.col(nn.columns[0]).alias("_qid"), F.col("neighbor_id").alias("_nid"))
-    joined = (rows.join(nnk, F.col("_sid") == F.col("_qid")).join(partner, "_nid"))
+    same = F.col("_sid") == F.col("_qid")
+    if k > 1:
+        nnk = nn.select(F.col(nn.columns[0]).alias("_qid"), F.col("rank").alias("_rank"), F.col("neighbor_id").alias("_nid"))
+        choice = F.lit(0)
+        for c in need:
+            choice = F.when(F.col("_scls") == F.lit(c), F.lit(min(k, counts[c] - 1))).otherwise(choice)
+        drawn = F.floor(hash_uniform([F.col("_sid"), F.col("copy_index")], seed + 1) * choice) + 1
+        rows = rows.withColumn("_drawn", drawn)
+        same = same & (F.col("_drawn") == F.col("_rank"))
+    joined = rows.join(nnk, same).join(partner, "_nid")
     u = hash_uniform([F.col("_sid"), F.col("copy_index")], seed)
     synth = joined.select("_sid", "_scls", *[(F.col(x) + u * (F.col(f"_n{x}") - F.col(x))).alias(x) for x in xs],
                           F.lit(True).alias("is_synthetic"), F.col("copy_index").cast("bigint"))

@@ -221,6 +221,22 @@ def q_smote_neighbors_wide(spark, d):
     return _r(out, ["distance"])
 
 
+def q_smote_neighbors_k3(spark, d):
+    out = S.smote_neighbors(cust_emp(spark, d), "employee_id", CUST_FEATURES, "is_active", k=3)
+    return _r(out, ["distance"])
+
+
+def q_smote_neighbors_k3_ties(spark, d):
+    """Few points with many rows each: neighbours at distance zero, by id."""
+    out = S.smote_neighbors(cust_emp(spark, d), "employee_id", ["total_working_years", "age"], "is_active", k=3)
+    return _r(out, ["distance"])
+
+
+def q_smote_k3(spark, d):
+    out = S.smote(cust_emp(spark, d).drop("department"), "employee_id", CUST_FEATURES, "is_active", k=3)
+    return _r(out, CUST_FEATURES)
+
+
 def q_smote(spark, d):
     out = S.smote(cust_emp(spark, d).drop("department"), "employee_id", CUST_FEATURES,
                   "is_active")
@@ -508,6 +524,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_test_split": q_train_test_split,
     "smote_neighbors": q_smote_neighbors,
     "smote_neighbors_wide": q_smote_neighbors_wide,
+    "smote_neighbors_k3": q_smote_neighbors_k3,
+    "smote_neighbors_k3_ties": q_smote_neighbors_k3_ties,
+    "smote_k3": q_smote_k3,
     "smote": q_smote,
     "smote_counts": q_smote_counts,
     "csv_roundtrip": q_csv_roundtrip,
@@ -762,6 +781,31 @@ SMOTE_SQL = WITH_CUST + ", " + NEIGHBORS_CTE + SMOTE_BODY + """
 select employee_id, is_active, """ + ", ".join(f"round({c}, 6) as {c}" for c in CUST_FEATURES) + """,
   is_synthetic, copy_index from allrows"""
 
+
+
+def _neighbors_k_cte(k: int, features: list[str]) -> str:
+    d2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in features)
+    return f"""nnk as (
+  select employee_id, is_active, cast(rn as integer) as rank, neighbor_id, d2 from (
+    select a.employee_id, a.is_active, b.employee_id as neighbor_id, {d2} as d2,
+      row_number() over (partition by a.employee_id order by {d2}, b.employee_id) as rn
+    from ce a join ce b on a.is_active = b.is_active and a.employee_id <> b.employee_id)
+  where rn <= {k})"""
+
+
+def _smote_neighbors_k_sql(k: int, features: list[str]) -> str:
+    return WITH_CUST + ", " + _neighbors_k_cte(k, features) + """
+select employee_id, is_active, rank, neighbor_id, round(sqrt(d2), 6) as distance from nnk"""
+
+
+# The partner of a copy: drawn from the k nearest by another seed.
+_DRAWN = _U.replace("'|42'", "'|43'")
+SMOTE_K3_SQL = WITH_CUST + ", " + _neighbors_k_cte(3, CUST_FEATURES) + SMOTE_BODY.replace(
+    "join nn on c.employee_id = nn.employee_id",
+    f"join nnk nn on c.employee_id = nn.employee_id and nn.rank = 1 + floor({_DRAWN} * least(3, c.n - 1))") + """
+select employee_id, is_active, """ + ", ".join(f"round({c}, 6) as {c}" for c in CUST_FEATURES) + """,
+  is_synthetic, copy_index from allrows"""
+
 SMOTE_COUNTS_SQL = WITH_CUST + ", " + NEIGHBORS_CTE + SMOTE_BODY + """
 select is_active, count(*) as n from allrows group by 1"""
 
@@ -882,6 +926,9 @@ select employee_id, position, department, age, gender, education, education_fiel
     "split_label": WITH_EMP + "\nselect is_active from emp",
     "train_test_split": TRAIN_TEST_SPLIT_SQL,
     "smote_neighbors": SMOTE_NEIGHBORS_SQL,
+    "smote_neighbors_k3": _smote_neighbors_k_sql(3, CUST_FEATURES),
+    "smote_neighbors_k3_ties": _smote_neighbors_k_sql(3, ["total_working_years", "age"]),
+    "smote_k3": SMOTE_K3_SQL,
     "smote": SMOTE_SQL,
     "smote_counts": SMOTE_COUNTS_SQL,
     "csv_roundtrip": WITH_CLEAN + """
