@@ -260,6 +260,16 @@ def q_csv_roundtrip(spark, d):
     return read_csv(spark, path, schema=turned)
 
 
+def q_csv_multiline(spark, d):
+    """Line ends, quotes and separators inside cells; read in parts."""
+    rows = C.clean(emp(spark, d)).withColumn("note", F.concat(
+        F.lit('a "'), F.coalesce("position", F.lit("none")), F.lit('",\nsecond\r\n\n"'),
+        F.coalesce("department", F.lit("")), F.lit('"\nend')))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-multiline-{uuid.uuid4().hex}"
+    write_csv(rows, path)
+    return read_csv(spark, path, schema=rows.schema, multi_line=True)
+
+
 def _cust_trained(spark, d, forest: bool = True, network: bool = True):
     settings = Settings(fit_forest=forest, fit_network=network, count_balanced=False)
     return train_and_score(_encoded_cust(spark, d), CUST_COLUMNS, settings)
@@ -530,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "smote": q_smote,
     "smote_counts": q_smote_counts,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_multiline": q_csv_multiline,
     "feature_importance": q_feature_importance,
     "turnover_report": q_turnover_report,
     "evaluate_accuracy": q_evaluate_accuracy,
@@ -931,6 +942,9 @@ select employee_id, position, department, age, gender, education, education_fiel
     "smote_k3": SMOTE_K3_SQL,
     "smote": SMOTE_SQL,
     "smote_counts": SMOTE_COUNTS_SQL,
+    "csv_multiline": WITH_CLEAN + """
+select *, 'a "' || coalesce(position, 'none') || '",' || chr(10) || 'second' || chr(13) || chr(10) || chr(10)
+  || '"' || coalesce(department, '') || '"' || chr(10) || 'end' as note from cleaned""",
     "csv_roundtrip": WITH_CLEAN + """
 select *, ' "' || coalesce(position, 'none') || '", 0 ' as note from cleaned""",
     "stream_clean": WITH_CLEAN + "\nselect * from cleaned",

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile.defaults import HR_SCHEMA
+from turnstile.sources.records import read_records
 
 
 # Column of the lines that hold a bad cell (``read_csv(bad_cells="report")``).
@@ -29,7 +31,7 @@ class Config:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              delimiter: str = ",", header: bool = True, infer_schema: bool = False,
              columns: list[str] | None = None, bad_cells: str = "error",
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool | str = False) -> DataFrame:
     """Delimited scan with a header row.
 
     Give ``schema`` to avoid the extra inference pass over the files (the
@@ -41,16 +43,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
     ``bad_cells``, for a cell that doesn't fit its type: ``error`` raises,
     ``null`` makes it null, ``report`` also keeps the line in ``_bad_record``.
-    ``multi_line`` allows line ends inside quoted cells (such files can't be
-    split).  The reader strips a UTF-8 BOM and CRLF line ends.
+    ``multi_line`` allows line ends inside quoted cells.  With a schema a file is
+    read by many tasks (``records.py``); without one, or with ``'serial'``, by one
+    task.  The reader strips a UTF-8 BOM and CRLF line ends.
     """
+    serial = multi_line == "serial"
     if bad_cells not in ("error", "null", "report"):
         raise ValueError("bad_cells must be 'error', 'null' or 'report'")
 
     def reader():
         return (spark.read.format("csv").option("delimiter", delimiter)
                 .option("header", header).option("encoding", "UTF-8")
-                .option("escape", '"').option("multiLine", multi_line)
+                .option("escape", '"').option("multiLine", bool(multi_line))
                 .option("mode", "FAILFAST" if bad_cells == "error" else "PERMISSIVE"))
 
     if schema is None:
@@ -72,12 +76,31 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     if bad_cells == "report":
         fields = [*fields, T.StructField(BAD_RECORD, T.StringType())]
         scan = scan.option("columnNameOfCorruptRecord", BAD_RECORD)
-    df = scan.schema(T.StructType(fields)).load(path)
+    if multi_line and not serial:
+        df = _parsed_records(read_records(spark, path, delimiter), fields, header, {
+            "delimiter": delimiter, "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": BAD_RECORD,
+            "mode": "FAILFAST" if bad_cells == "error" else "PERMISSIVE"})
+    else:
+        df = scan.schema(T.StructType(fields)).load(path)
     df = df.select(*[df[f"`{f.name}`"].alias(f.name) for f in schema.fields],
                    *([BAD_RECORD] if bad_cells == "report" else []))
     return df if columns is None else df.select(*columns)
 
 
+def _parsed_records(records: DataFrame, fields: list[T.StructField], header: bool,
+                    options: dict[str, str]) -> DataFrame:
+    """The cells of records; the first of every file must be the header."""
+    if header:
+        names = [f.name for f in fields if f.name != BAD_RECORD]
+        cells = F.from_csv("record", ", ".join(f"c{k} string" for k in range(len(names))), options)
+        found = F.array(*[cells[f"c{k}"] for k in range(len(names))])
+        same = F.transform(found, F.lower) == F.array(*[F.lit(n.lower()) for n in names])
+        wrong = F.raise_error(F.concat(F.lit("another header in a file: "), "record")).cast("boolean")
+        records = records.where(F.when(~F.col("_first"), True).when(same, False).otherwise(wrong))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return records.select(F.from_csv("record", schema, options).alias("_row")).select("_row.*")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "csv",
                schema: T.StructType | str | None = None, **options) -> DataFrame:
     """Source-format dispatch: csv / parquet / json / orc / anything Spark reads."""
