@@ -1,11 +1,12 @@
 """A feed-forward network (M12, M13): data-parallel mini-batch training, and a
 forward pass in column expressions.
 
-Training: every pass over the table is one Spark job.  A task walks its
-partition in blocks of BLOCK_ROWS rows, shuffles each block by a seed of pass,
+Training: the table is read once and kept as blocks of BLOCK_ROWS rows, in the
+cache, whose rows are the bytes of a block; every pass over them is one Spark
+job.  A task walks the blocks of its partition, shuffles each by a seed of pass,
 partition and block, and takes one Adam step per mini-batch, starting from the
 parameters all tasks share; the driver then averages the tasks' parameters and
-moments, weighted by their rows.  A task holds one block, the driver one
+moments, weighted by their rows.  A task holds one batch of blocks, the driver one
 parameter vector per partition.  The result depends only on the seed and on the
 rows of each partition in their order, so train on a materialised table.
 
@@ -16,7 +17,7 @@ model object on the executors and runs on a stream.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +35,7 @@ BLOCK_ROWS = 8_192
 RATE, DECAY, DECAY_SQUARES, TINY = 0.005, 0.9, 0.999, 1e-8
 # Inputs of a unit up to which its sum is written out.
 UNROLLED = 256
+BLOCK_SCHEMA = "x binary, label binary"
 STEP_SCHEMA = "part int, n bigint, steps bigint, state binary"
 
 
@@ -127,11 +129,8 @@ def probabilities(net: Network, x: np.ndarray) -> tuple[list[np.ndarray], np.nda
 def gradient(net: Network, x: np.ndarray, label: np.ndarray) -> tuple[float, np.ndarray]:
     """Mean cross entropy of some rows, and its derivative by the parameters."""
     held, p = probabilities(net, x)
-    rows = np.arange(len(x))
-    loss = -float(np.log(np.maximum(p[rows, label], 1e-300)).mean())
-    delta = p.copy()
-    delta[rows, label] -= 1.0
-    delta /= len(x)
+    loss = -float(np.log(np.maximum(p[np.arange(len(x)), label], 1e-300)).mean())
+    delta = (p - np.eye(p.shape[1])[label]) / len(x)
     parts: list[np.ndarray] = []
     for k in range(len(net.weights) - 1, -1, -1):
         parts = [(held[k].T @ delta).ravel(), delta.sum(axis=0), *parts]
@@ -141,15 +140,57 @@ def gradient(net: Network, x: np.ndarray, label: np.ndarray) -> tuple[float, np.
     return loss, np.concatenate(parts)
 
 
+def _relu_gradient(net: Network, out: Network, n: int) -> Callable[[np.ndarray, np.ndarray], None]:
+    """``gradient`` of mini-batches of ``n`` rows, for ReLU: called with the rows and
+    their classes as rows of the unit matrix, it puts the derivative into ``out``.
+    The same operations in the same order, in buffers that are made once: of
+    matrices this small, the time goes into calls and allocations."""
+    units = net.layers[1:]
+    held, deltas = [np.empty((n, m)) for m in units], [np.empty((n, m)) for m in units]
+    slopes, column, count = [np.empty((n, m), bool) for m in units], np.empty((n, 1)), np.array(float(n))
+    zero, turned = np.zeros(()), [w.T for w in net.weights]
+    p, last = held[-1], len(units) - 1
+
+    def run(x: np.ndarray, wanted: np.ndarray) -> None:
+        below = x
+        for k in range(last + 1):
+            np.dot(below, net.weights[k], held[k])
+            np.add(held[k], net.biases[k], held[k])
+            if k < last:
+                np.maximum(held[k], zero, held[k])
+            below = held[k]
+        np.maximum.reduce(p, 1, None, column, True)
+        np.subtract(p, column, p)
+        np.exp(p, p)
+        np.add.reduce(p, 1, None, column, True)
+        np.divide(p, column, p)
+        np.subtract(p, wanted, deltas[last])
+        np.divide(deltas[last], count, deltas[last])
+        for k in range(last, -1, -1):
+            np.dot((held[k - 1] if k else x).T, deltas[k], out.weights[k])
+            np.add.reduce(deltas[k], 0, None, out.biases[k])
+            if k:
+                np.dot(deltas[k], turned[k], deltas[k - 1])
+                np.greater(held[k - 1], zero, slopes[k - 1])
+                np.multiply(deltas[k - 1], slopes[k - 1], deltas[k - 1])
+
+    return run
+
+
 def flat(net: Network) -> np.ndarray:
     return np.concatenate([p.ravel() for pair in zip(net.weights, net.biases) for p in pair])
 
 
 def from_flat(values: np.ndarray, layers: Sequence[int], activation: str = "relu") -> Network:
+    return _views(values.copy(), layers, activation)
+
+
+def _views(values: np.ndarray, layers: Sequence[int], activation: str = "relu") -> Network:
+    """The network whose weights and biases are parts of ``values`` itself."""
     weights, biases, at = [], [], 0
     for n, m in zip(layers, layers[1:]):
-        weights.append(values[at:at + n * m].reshape(n, m).copy())
-        biases.append(values[at + n * m:at + n * m + m].copy())
+        weights.append(values[at:at + n * m].reshape(n, m))
+        biases.append(values[at + n * m:at + n * m + m])
         at += n * m + m
     return Network(weights, biases, activation)
 
@@ -167,15 +208,33 @@ def _adam(state: np.ndarray, steps: int, x: np.ndarray, label: np.ndarray, layer
     """Mini-batch steps over the rows of a block, in a random order; ``state``
     (parameters, mean, mean square) is changed in place."""
     n = len(state) // 3
-    theta, mean, square = state[:n], state[n:2 * n], state[2 * n:]
+    theta, moments = state[:n], state[n:]
+    mean, square = moments[:n], moments[n:]
+    new, a, b, change = np.empty(2 * n), np.empty(n), np.empty(n), np.empty(2 * n)
+    g, squares = new[:n], new[n:]
+    rates = np.repeat([1 - DECAY, 1 - DECAY_SQUARES], n)
+    net, out = _views(theta, layers), _views(g, layers)
     rows = order.permutation(len(x))
+    x, wanted = x[rows], np.eye(layers[-1])[label[rows]]
+    whole = _relu_gradient(net, out, batch)
     for at in range(0, len(rows), batch):
-        some = rows[at:at + batch]
-        _, g = gradient(from_flat(theta, layers), x[some], label[some])
+        some = x[at:at + batch]
+        derive = whole if len(some) == batch else _relu_gradient(net, out, len(some))
+        derive(some, wanted[at:at + batch])
         steps += 1
-        mean += (1 - DECAY) * (g - mean)
-        square += (1 - DECAY_SQUARES) * (g * g - square)
-        theta -= RATE * (mean / (1 - DECAY ** steps)) / (np.sqrt(square / (1 - DECAY_SQUARES ** steps)) + TINY)
+        np.multiply(g, g, squares)
+        # moments += rates * (new - moments)
+        np.subtract(new, moments, change)
+        np.multiply(change, rates, change)
+        np.add(moments, change, moments)
+        # theta -= RATE * (mean / ...) / (sqrt(square / ...) + TINY)
+        np.divide(mean, 1 - DECAY ** steps, a)
+        np.multiply(a, RATE, a)
+        np.divide(square, 1 - DECAY_SQUARES ** steps, b)
+        np.sqrt(b, b)
+        np.add(b, TINY, b)
+        np.divide(a, b, a)
+        np.subtract(theta, a, theta)
     return steps
 
 
@@ -194,18 +253,36 @@ def fit_relu(df: DataFrame, features_col: str, label: str, n_inputs: int,
     rows = df.select(x.cast("array<double>").alias("x"), number.cast("int").alias("label"))
     theta = flat(start(layers, seed))
     state, steps = np.concatenate([theta, np.zeros(2 * len(theta))]), 0
-    for k in range(passes):
-        done = _pass(rows, state, steps, layers, batch, seed, k)
-        total = sum(n for _, n, _, _ in done)
-        if not total:
-            break
-        # In the order of the partitions, so that sums are added alike.
-        state = sum(n / total * np.frombuffer(s) for _, n, _, s in sorted(done))
-        steps = max(s for _, _, s, _ in done)
+    blocks = _blocks(rows, n_inputs).persist()
+    try:
+        for k in range(passes):
+            done = _pass(blocks, state, steps, layers, batch, seed, k)
+            total = sum(n for _, n, _, _ in done)
+            if not total:
+                break
+            # In the order of the partitions, so that sums are added alike.
+            state = sum(n / total * np.frombuffer(s) for _, n, _, s in sorted(done))
+            steps = max(s for _, _, s, _ in done)
+    finally:
+        blocks.unpersist()
     return from_flat(state[:len(theta)], layers)
 
 
-def _pass(rows: DataFrame, state: np.ndarray, steps: int, layers: Sequence[int], batch: int,
+def _blocks(rows: DataFrame, n_inputs: int) -> DataFrame:
+    """``rows`` (x, label) as blocks of BLOCK_ROWS rows at most, as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, BLOCK_ROWS):
+                block = b.slice(at, BLOCK_ROWS)
+                x = block.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_inputs)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x.tobytes()], pa.binary()),
+                     pa.array([block.column(1).to_numpy().tobytes()], pa.binary())], names=["x", "label"])
+
+    return rows.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def _pass(blocks: DataFrame, state: np.ndarray, steps: int, layers: Sequence[int], batch: int,
           seed: int, number: int) -> list[tuple[int, int, int, bytes]]:
     """(partition, rows, steps, state) of every partition after one pass."""
     sent = base64.b64encode(state.tobytes())
@@ -214,16 +291,15 @@ def _pass(rows: DataFrame, state: np.ndarray, steps: int, layers: Sequence[int],
         mine, part = np.frombuffer(base64.b64decode(sent)).copy(), TaskContext.get().partitionId()
         now, n = steps, 0
         for b in batches:
-            for at in range(0, b.num_rows, BLOCK_ROWS):
-                block = b.slice(at, BLOCK_ROWS)
-                x = block.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, layers[0])
-                order = np.random.default_rng([seed, number, part, n])
-                now = _adam(mine, now, x, block.column(1).to_numpy(), layers, batch, order)
-                n += block.num_rows
+            for values, labels in zip(b.column(0), b.column(1)):
+                label = np.frombuffer(labels.as_buffer(), np.int32)
+                x = np.frombuffer(values.as_buffer()).reshape(-1, layers[0])
+                now = _adam(mine, now, x, label, layers, batch, np.random.default_rng([seed, number, part, n]))
+                n += len(label)
         if n:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([n]), pa.array([now]), pa.array([mine.tobytes()], pa.binary())],
                 names=["part", "n", "steps", "state"])
 
-    got = rows.mapInArrow(run, STEP_SCHEMA).toArrow()
+    got = blocks.mapInArrow(run, STEP_SCHEMA).toArrow()
     return list(zip(*(got.column(c).to_pylist() for c in ("part", "n", "steps", "state")))) if got.num_rows else []

@@ -155,12 +155,14 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
             prepared = fit_partitions(prepared, n_rows, NETWORK_ROWS_PER_PARTITION)
             test = prepared.where(F.col("split") == "test")
             train = (feature_model.transform(train_rows, keep=[lab]) if s.use_balanced
-                     else prepared.where(F.col("split") == "train")).persist()
+                     else prepared.where(F.col("split") == "train"))
             if s.network == "relu":
+                # Reads its rows once.
                 mlp = fit_relu(train, "features", lab, n_inputs=len(flat), passes=s.mlp_max_iter)
             else:
+                train = train.persist()
                 mlp = fit_mlp(train, "features", lab, n_inputs=len(flat), max_iter=s.mlp_max_iter)
-            train.unpersist()
+                train.unpersist()
             result["turnover"] = turnover_report(mlp, prepared, report_id)
             result["accuracy"] = evaluate_accuracy(mlp, test, lab)
             result["feature_names"] = flat
