@@ -6,7 +6,10 @@ cache, whose rows are the bytes of a block; every pass over them is one Spark
 job.  A task walks the blocks of its partition, shuffles each by a seed of pass,
 partition and block, and takes one Adam step per mini-batch, starting from the
 parameters all tasks share; the driver then averages the tasks' parameters and
-moments, weighted by their rows.  A task holds one batch of blocks, the driver one
+moments, weighted by their rows.  Where a task gets many blocks at once it deals
+their rows to lanes of LANE_ROWS rows, which step side by side in stacked matrices
+and are averaged as the tasks are: the same mini-batches and passes, as with more
+and smaller partitions.  A task holds one batch of blocks, the driver one
 parameter vector per partition.  The result depends only on the seed and on the
 rows of each partition in their order, so train on a materialised table.
 
@@ -31,6 +34,8 @@ from turnstile import defaults as D
 from turnstile.functions.expressions import name_lookup
 
 BLOCK_ROWS = 8_192
+# Rows of a lane at least; fewer than two lanes go block by block.
+LANE_ROWS = 8_192
 # Adam, with its usual constants.
 RATE, DECAY, DECAY_SQUARES, TINY = 0.005, 0.9, 0.999, 1e-8
 # Inputs of a unit up to which its sum is written out.
@@ -238,6 +243,95 @@ def _adam(state: np.ndarray, steps: int, x: np.ndarray, label: np.ndarray, layer
     return steps
 
 
+def _lane_gradients(theta: np.ndarray, g: np.ndarray, layers: Sequence[int], n: int
+                    ) -> Callable[[np.ndarray, np.ndarray], None]:
+    """As ``_relu_gradient``, for networks whose parameters are the rows of ``theta``:
+    called with ``n`` rows and their classes for each of them, it puts the
+    derivatives into the rows of ``g``."""
+    lanes, units, last = len(theta), layers[1:], len(layers) - 2
+    weights, biases = _lane_views(theta, layers)
+    out_weights, out_biases = _lane_views(g, layers)
+    held, deltas = [np.empty((lanes, n, m)) for m in units], [np.empty((lanes, n, m)) for m in units]
+    slopes = [np.empty((lanes, n, m), bool) for m in units]
+    ones, p = np.ones((lanes, 1, n)), held[-1]
+
+    def run(x: np.ndarray, wanted: np.ndarray) -> None:
+        below = x
+        for k in range(last + 1):
+            np.matmul(below, weights[k], held[k])
+            np.add(held[k], biases[k], held[k])
+            if k < last:
+                np.maximum(held[k], 0.0, held[k])
+            below = held[k]
+        # Class by class: of few classes, a reduction costs more than its sums.
+        top, total = p[..., 0].copy(), np.zeros((lanes, n))
+        for c in range(1, units[-1]):
+            np.maximum(top, p[..., c], top)
+        np.subtract(p, top[..., None], p)
+        np.exp(p, p)
+        for c in range(units[-1]):
+            np.add(total, p[..., c], total)
+        np.divide(p, total[..., None], p)
+        np.subtract(p, wanted, deltas[last])
+        np.divide(deltas[last], float(n), deltas[last])
+        for k in range(last, -1, -1):
+            np.matmul((held[k - 1] if k else x).swapaxes(1, 2), deltas[k], out_weights[k])
+            np.matmul(ones, deltas[k], out_biases[k])
+            if k:
+                np.matmul(deltas[k], weights[k].swapaxes(1, 2), deltas[k - 1])
+                np.greater(held[k - 1], 0.0, slopes[k - 1])
+                np.multiply(deltas[k - 1], slopes[k - 1], deltas[k - 1])
+
+    return run
+
+
+def _lane_views(values: np.ndarray, layers: Sequence[int]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """As ``_views``, of a network per row: weights (row, inputs, units), biases
+    (row, 1, units)."""
+    weights, biases, at = [], [], 0
+    for n, m in zip(layers, layers[1:]):
+        weights.append(values[:, at:at + n * m].reshape(-1, n, m, copy=False))
+        biases.append(values[:, None, at + n * m:at + n * m + m])
+        at += n * m + m
+    return weights, biases
+
+
+def _adam_lanes(state: np.ndarray, steps: int, x: np.ndarray, label: np.ndarray, layers: Sequence[int],
+                batch: int, order: np.random.Generator) -> int:
+    """As ``_adam``, with the rows dealt at random to lanes that all start from
+    ``state`` and whose average it becomes; fewer rows than lanes are left over, and
+    take their steps after that."""
+    n, lanes = len(state) // 3, len(x) // LANE_ROWS
+    size = len(x) // lanes
+    rows = order.permutation(len(x))
+    dealt, classes = rows[:lanes * size].reshape(lanes, size), np.eye(layers[-1])
+    theta, moments = np.tile(state[:n], (lanes, 1)), np.tile(state[n:], (lanes, 1))
+    mean, square = moments[:, :n], moments[:, n:]
+    new, change = np.empty((lanes, 2 * n)), np.empty((lanes, 2 * n))
+    a, b = np.empty((lanes, n)), np.empty((lanes, n))
+    g, squares = new[:, :n], new[:, n:]
+    rates = np.repeat([1 - DECAY, 1 - DECAY_SQUARES], n)
+    whole = _lane_gradients(theta, g, layers, min(batch, size))
+    for at in range(0, size, batch):
+        some = dealt[:, at:at + batch]
+        derive = whole if some.shape[1] == min(batch, size) else _lane_gradients(theta, g, layers, some.shape[1])
+        derive(x[some], classes[label[some]])
+        steps += 1
+        np.multiply(g, g, squares)
+        np.subtract(new, moments, change)
+        np.multiply(change, rates, change)
+        np.add(moments, change, moments)
+        np.multiply(mean, RATE / (1 - DECAY ** steps), a)
+        np.multiply(square, 1 / (1 - DECAY_SQUARES ** steps), b)
+        np.sqrt(b, b)
+        np.add(b, TINY, b)
+        np.divide(a, b, a)
+        np.subtract(theta, a, theta)
+    state[:n], state[n:] = theta.mean(axis=0), moments.mean(axis=0)
+    left = rows[lanes * size:]
+    return _adam(state, steps, x[left], label[left], layers, batch, order) if len(left) else steps
+
+
 def fit_relu(df: DataFrame, features_col: str, label: str, n_inputs: int,
              hidden: Sequence[int] = D.MLP_HIDDEN, n_outputs: int = 2, passes: int = D.MLP_MAX_ITER,
              batch: int = D.MLP_BLOCK_SIZE, seed: int = 0) -> Network:
@@ -268,6 +362,23 @@ def fit_relu(df: DataFrame, features_col: str, label: str, n_inputs: int,
     return from_flat(state[:len(theta)], layers)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Rows as bytes.  Columns of whole numbers up to 255, as indicators are, take a
+    byte a value; which they are comes last."""
+    with np.errstate(invalid="ignore"):
+        narrow = (x == x.astype(np.uint8)).all(axis=0)
+    return x[:, ~narrow].tobytes() + x[:, narrow].astype(np.uint8).tobytes() + narrow.tobytes()
+
+
+def _unpack(data: pa.Buffer, into: np.ndarray) -> None:
+    """The rows of ``_packed``."""
+    n, p = into.shape
+    narrow = np.frombuffer(data, bool, p, data.size - p)
+    k = int(narrow.sum())
+    into[:, ~narrow] = np.frombuffer(data, float, n * (p - k)).reshape(n, p - k)
+    into[:, narrow] = np.frombuffer(data, np.uint8, n * k, 8 * n * (p - k)).reshape(n, k)
+
+
 def _blocks(rows: DataFrame, n_inputs: int) -> DataFrame:
     """``rows`` (x, label) as blocks of BLOCK_ROWS rows at most, as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +387,7 @@ def _blocks(rows: DataFrame, n_inputs: int) -> DataFrame:
                 block = b.slice(at, BLOCK_ROWS)
                 x = block.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_inputs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()),
+                    [pa.array([_packed(x)], pa.binary()),
                      pa.array([block.column(1).to_numpy().tobytes()], pa.binary())], names=["x", "label"])
 
     return rows.mapInArrow(run, BLOCK_SCHEMA)
@@ -291,11 +402,18 @@ def _pass(blocks: DataFrame, state: np.ndarray, steps: int, layers: Sequence[int
         mine, part = np.frombuffer(base64.b64decode(sent)).copy(), TaskContext.get().partitionId()
         now, n = steps, 0
         for b in batches:
-            for values, labels in zip(b.column(0), b.column(1)):
-                label = np.frombuffer(labels.as_buffer(), np.int32)
-                x = np.frombuffer(values.as_buffer()).reshape(-1, layers[0])
-                now = _adam(mine, now, x, label, layers, batch, np.random.default_rng([seed, number, part, n]))
-                n += len(label)
+            labels = [np.frombuffer(v.as_buffer(), np.int32) for v in b.column(1)]
+            ends = np.cumsum([0, *map(len, labels)])
+            x = np.empty((ends[-1], layers[0]))
+            for k, values in enumerate(b.column(0)):
+                _unpack(values.as_buffer(), x[ends[k]:ends[k + 1]])
+            label, step = np.concatenate([np.empty(0, np.int32), *labels]), _adam
+            if len(x) >= 2 * LANE_ROWS:
+                step, ends = _adam_lanes, [0, len(x)]
+            for at, end in zip(ends, ends[1:]):
+                order = np.random.default_rng([seed, number, part, n])
+                now = step(mine, now, x[at:end], label[at:end], layers, batch, order)
+                n += int(end - at)
         if n:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([n]), pa.array([now]), pa.array([mine.tobytes()], pa.binary())],
