@@ -242,3 +242,23 @@ def test_stream_of_a_folder_table(spark, tmp_path):
     spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(4).write.parquet(folder)
     out = run_to_table(emp_stream(spark, str(tmp_path)), f"folder-{os.path.basename(tmp_path)}")
     assert out.count() == emp(spark, str(tmp_path)).count() == 1500
+
+
+def test_training_table_is_computed_once(spark):
+    """However often the checks before training read it."""
+    from pyspark.sql import functions as F
+
+    from turnstile.plans.pipeline import Columns, Settings, train_and_score
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(age):
+        read.add(1)
+        return age
+
+    df = _hr_like(spark).withColumn("age", counted(F.col("age").cast("double")))
+    out = train_and_score(df, Columns(id="employee_id", label="is_active", numeric=("age",), categorical=()),
+                          Settings(fit_forest=False, mlp_max_iter=2, count_balanced=False))
+    assert out["trained"] and out["turnover"].count() == df.count()
+    assert read.value == _hr_like(spark).count()

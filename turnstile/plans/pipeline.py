@@ -111,6 +111,8 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
     spark = df.sparkSession
     ident = id_col or cols.id
     (lab,) = name_lookup(df, [cols.label])
+    # Written before anything reads it, so that imputation runs once.
+    df = cut_lineage(df)
     counts = class_counts(df, lab)
     result = {"class_counts": counts, "trained": False}
     class_values(df, lab)                               # raises if it is no class label
@@ -121,7 +123,8 @@ def train_and_score(df: DataFrame, cols: Columns = Columns(), s: Settings = Sett
         raise ValueError(f"label {lab} has levels {sorted(count_rows)}; the network's "
                          "output has two units, so exactly two are needed")
     n_rows = sum(count_rows.values())
-    table = cut_lineage(fit_partitions(df, n_rows, FOREST_ROWS_PER_PARTITION, per_core=2))
+    spread = fit_partitions(df, n_rows, FOREST_ROWS_PER_PARTITION, per_core=2)
+    table = df if spread is df else cut_lineage(spread)
     feature_cols = [c for c in table.columns if c not in (lab, "_orig_id")]
     # The split is on the id as it was read: the imputed one is a double.
     split_id = "_orig_id" if "_orig_id" in table.columns else ident
